@@ -54,12 +54,12 @@ class Tables:
             .alias(C.GENRES),
         )
 
-    def tags(self) -> DataFrame:
-        """Two-word tags; one row in 19 has none."""
+    def tags(self, items: int = 200) -> DataFrame:
+        """Two-word tags spread over the given number of items; one row in 19 has none."""
         number = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 10
         return self.read("events").select(
             F.col("user_id").alias(C.USER),
-            (F.col("event_id") % 200).alias(C.ITEM),
+            (F.col("event_id") % items).alias(C.ITEM),
             F.when(F.col("event_id") % 19 != 0, F.concat("event_type", F.lit(" "), number.cast("string"))).alias("tag"),
         )
 
