@@ -166,15 +166,14 @@ def content_knn(
         C.USER, F.ceil(F.col("n") / rows_per_tile).cast("int").alias("rt"),
         F.ceil(F.col("m") / rows_per_tile).cast("int").alias("tt"))
 
-    def blocks(df: DataFrame, own: str, other: str, own_name: str, other_name: str, *keep: str) -> DataFrame:
-        return df.join(tiles, C.USER).select(
-            C.USER, *keep, "features",
-            F.pmod(F.xxhash64(C.ITEM), F.col(own)).cast("int").alias(own_name),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_name),
-        )
-
-    left = blocks(asked, "tt", "rt", "tb", "rb", C.ITEM)
-    right = blocks(rated, "rt", "tt", "rb", "tb", C.ITEM, C.RATING)
+    part = lambda n: F.pmod(F.xxhash64(C.ITEM), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(tiles, C.USER).select(
+        F.col(C.USER).alias("u"), part("tt").alias("tb"), every("rt").alias("rb"),
+        F.col(C.ITEM).alias("target"), F.col("features").alias("tvec"))
+    right = rated.join(tiles, C.USER).select(
+        F.col(C.USER).alias("u"), every("tt").alias("tb"), part("rt").alias("rb"),
+        F.col(C.ITEM).alias("other"), F.col(C.RATING).alias("r"), F.col("features").alias("rvec"))
 
     def unit(column: pd.Series) -> np.ndarray:
         m = np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
@@ -183,24 +182,23 @@ def content_knn(
 
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({C.USER: [], C.ITEM: [], "other": [], "sim": [], C.RATING: []})
-        b = b.sort_values(C.ITEM)
-        sims = np.floor(unit(a["features"]) @ unit(b["features"]).T * 1e9 + 0.5) / 1e9
+            return pd.DataFrame({"x": [], "y": [], "v": [], "sim": [], "r": []})
+        b = b.sort_values("other")
+        sims = np.floor(unit(a["tvec"]) @ unit(b["rvec"]).T * 1e9 + 0.5) / 1e9
         top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
         s = np.take_along_axis(sims, top, axis=1)
         rows, cols = np.nonzero(s > 0)
         pick = top[rows, cols]
         return pd.DataFrame({
-            C.USER: a[C.USER].to_numpy()[rows], C.ITEM: a[C.ITEM].to_numpy()[rows],
-            "other": b[C.ITEM].to_numpy()[pick], "sim": s[rows, cols], C.RATING: b[C.RATING].to_numpy()[pick],
+            "x": a["u"].to_numpy()[rows], "y": a["target"].to_numpy()[rows],
+            "v": b["other"].to_numpy()[pick], "sim": s[rows, cols], "r": b["r"].to_numpy()[pick],
         })
 
-    keys = [C.USER, "tb", "rb"]
+    keys = ["u", "tb", "rb"]
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        nearest, f"{C.USER} long, {C.ITEM} long, other long, sim double, {C.RATING} double")
-    found = near.join(means.select(C.USER, "mean"), C.USER).select(
-        F.col(C.USER).alias("x"), F.col(C.ITEM).alias("y"), F.col("other").alias("v"), "sim",
-        (F.col(C.RATING) - F.col("mean")).alias("dev"))
+        nearest, "x long, y long, v long, sim double, r double")
+    found = near.join(means.select(F.col(C.USER).alias("x"), "mean"), "x").select(
+        "x", "y", "v", "sim", (F.col("r") - F.col("mean")).alias("dev"))
     known_item = train.select(F.col(C.ITEM).alias("y"), F.lit(True).alias("known_y")).distinct()
     known_user = train.groupBy(F.col(C.USER).alias("x")).agg(F.lit(True).alias("known_x"))
     scored = (

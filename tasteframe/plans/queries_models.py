@@ -110,7 +110,7 @@ relation("v1_norms", "SELECT movieId, f, sqrt(list_inner_product(f, f)) AS s FRO
 
 
 @query("sim_content", f"""
-    SELECT u, v, {dec('list_inner_product(a.f, b.f) / nullif(a.s * b.s, 0)', 6)} AS sim
+    SELECT u, v, {dec('coalesce(list_inner_product(a.f, b.f) / nullif(a.s * b.s, 0), 0)', 6)} AS sim
     FROM item_pairs p JOIN v1_norms a ON p.u = a.movieId JOIN v1_norms b ON p.v = b.movieId WHERE n >= 3""")
 def _(t):
     pairs = SM.corated_pairs(t.ratings(), axis="item", min_support=3, ordered=True).select("u", "v")
