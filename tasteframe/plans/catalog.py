@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tasteframe.plans import queries_basic, queries_eval, queries_features, queries_models  # noqa: F401
+from tasteframe.plans import queries_basic, queries_eval, queries_features, queries_models, queries_recommend  # noqa: F401
 from tasteframe.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
