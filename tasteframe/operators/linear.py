@@ -22,7 +22,7 @@ from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.functions import vectors as V
 from tasteframe.operators import stats
-from tasteframe.scratch import materialise
+from tasteframe.scratch import materialise, spread
 
 LIMIT = 20_000
 MODEL_SCHEMA = f"{C.USER} long, intercept double, coef array<double>"
@@ -63,24 +63,41 @@ def solve_ridge(m: Moments, alpha: float) -> np.ndarray:
     return np.linalg.solve(m.g + alpha * np.eye(len(m.c)), m.c)
 
 
-def solve_elastic_net(m: Moments, alpha: float, l1_ratio: float, *, max_iter: int = 5000, tol: float = 1e-9) -> np.ndarray:
-    """Coordinate descent on 1/(2n)|y - Xw|^2 + alpha l1 |w|_1 + alpha (1 - l1)/2 |w|^2."""
+def solve_elastic_net(m: Moments, alpha: float, l1_ratio: float, *, max_iter: int = 5000) -> np.ndarray:
+    """Minimum of 1/(2n)|y - Xw|^2 + alpha l1 |w|_1 + alpha (1 - l1)/2 |w|^2 from the moments.
+
+    Accelerated proximal steps find the nonzero entries; these are then solved for exactly, and the
+    solution is taken when it meets the optimality conditions.
+    """
     p = len(m.c)
-    w, gw = np.zeros(p), np.zeros(p)
     l1, l2 = m.n * alpha * l1_ratio, m.n * alpha * (1 - l1_ratio)
-    diag = np.diag(m.g)
-    free = [j for j in range(p) if diag[j] + l2 > 1e-12]
-    for _ in range(max_iter):
-        step = 0.0
-        for j in free:
-            rho = m.c[j] - gw[j] + diag[j] * w[j]
-            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / (diag[j] + l2)
-            if new != w[j]:
-                gw += m.g[:, j] * (new - w[j])
-                step = max(step, abs(new - w[j]))
-                w[j] = new
-        if step < tol:
-            break
+    g = m.g + l2 * np.eye(p)
+    step = np.linalg.eigvalsh(g)[-1]
+    w = np.zeros(p)
+    if step <= 1e-12:
+        return w
+    tol = 1e-9 * max(1.0, float(np.max(np.abs(m.c))))
+    z, t = w, 1.0
+    for i in range(1, max_iter + 1):
+        v = z - (g @ z - m.c) / step
+        new = np.sign(v) * np.maximum(np.abs(v) - l1 / step, 0.0)
+        if (z - new) @ (new - w) > 0:
+            t = 1.0
+        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        z, w, t = new + (t - 1) / t_new * (new - w), new, t_new
+        if i % 25 == 0:
+            on = np.flatnonzero(w)
+            exact = np.zeros(p)
+            if len(on):
+                sign = np.sign(w[on])
+                exact[on] = np.linalg.lstsq(g[np.ix_(on, on)], m.c[on] - l1 * sign, rcond=1e-12)[0]
+                if np.any(exact[on] * sign < -1e-12):
+                    continue
+            slack = np.abs(m.c - g @ exact)
+            slack[on] = np.abs(slack[on] - l1)
+            off = np.setdiff1d(np.arange(p), on)
+            if np.all(slack[on] <= tol) and np.all(slack[off] <= l1 + tol):
+                return exact
     return w
 
 
@@ -108,7 +125,7 @@ def solve_svr(x: np.ndarray, y: np.ndarray, cost: float, epsilon: float, rounds:
     w = np.linalg.solve(z.T @ z + np.eye(z.shape[1]), z.T @ y)
     for _ in range(rounds):
         new = svr_step(*svr_sums(z, y, w, epsilon), cost)
-        done = np.max(np.abs(new - w)) < 1e-9
+        done = np.max(np.abs(new - w)) < 1e-7
         w = new
         if done:
             break
@@ -122,13 +139,16 @@ def contiguous_folds(n: int, k: int) -> list[np.ndarray]:
 
 # --- grouped fitting -----------------------------------------------------------------------------
 
-def _by_size(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of users up to the limit, and rows of larger users with their count.
+def _by_size(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of users up to the limit, and rows of larger users with their count (none: no such user).
 
-    Only the larger users (at most rows / limit of them) take part in the joins.
+    Only the larger users (at most rows / limit of them) take part in the joins. Eager: the rows are
+    counted per user.
     """
     large = rows.groupBy(C.USER).agg(F.count("*").alias("n_user")).where(F.col("n_user") > limit)
     keep = [C.USER, C.ITEM, C.RATING, "features"]
+    if large.isEmpty():
+        return rows.select(*keep), None
     few = rows.join(large.select(C.USER), C.USER, "left_anti").select(*keep)
     return few, rows.join(large, C.USER).select(*keep, "n_user")
 
@@ -160,11 +180,11 @@ def fit_users(
     """Fit every user: ``local(X, y)`` up to ``limit`` ratings, ``from_moments`` on summed chunks above."""
     few_rows, many_rows = _by_size(rows, limit)
 
-    def small(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def small(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b, w = local(*_arrays(pdf))
         return _model_row(key[0], b, w)
 
-    def sums(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = _arrays(pdf)
         part = np.concatenate([[len(y)], x.sum(axis=0), [y.sum()], (x.T @ x).ravel(), x.T @ y, [y @ y]])
         return pd.DataFrame({C.USER: [key[0]], "part": [part]})
@@ -182,8 +202,10 @@ def fit_users(
             if out:
                 yield pd.concat(out)
 
-    few = few_rows.groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
-    parts = _chunked(many_rows, limit).drop("n_user").groupBy(C.USER, "chunk").applyInPandas(sums, f"{C.USER} long, part array<double>")
+    few = spread(few_rows, C.USER).groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
+    if many_rows is None:
+        return few
+    parts = spread(_chunked(many_rows, limit).drop("n_user"), C.USER, "chunk").groupBy(C.USER, "chunk").applyInPandas(sums, f"{C.USER} long, part array<double>")
     return few.unionByName(_add_up(parts).mapInPandas(solve, MODEL_SCHEMA))
 
 
@@ -283,11 +305,11 @@ def _svr_large(rows: DataFrame, grid: Sequence[tuple[float, float]], folds: int,
     per_user = rows.groupBy(C.USER).agg(F.max("chunk").alias("last"), F.first(F.size("features")).alias("p"))
     state = per_user.select(C.USER, "last", "p", F.array_repeat(F.lit(0.0), (F.col("p") + 1) * len(problems)).alias("w"))
 
-    def spread(s: DataFrame) -> DataFrame:
+    def weights_of(s: DataFrame) -> DataFrame:
         return s.select(F.col(C.USER).alias("u"), F.explode(F.sequence(F.lit(0), "last")).alias("chunk"), "w")
 
     def work(gather):
-        def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
                 return pd.DataFrame({C.USER: [], "part": []})
             x, y = _arrays(left)
@@ -298,7 +320,7 @@ def _svr_large(rows: DataFrame, grid: Sequence[tuple[float, float]], folds: int,
             return pd.DataFrame({C.USER: [key[0]], "part": [part]})
 
         keyed = rows.select(F.col(C.USER).alias("u"), "chunk", C.ITEM, C.RATING, "features", "fold")
-        parts = keyed.groupBy("u", "chunk").cogroup(spread(state).groupBy("u", "chunk")).applyInPandas(
+        parts = spread(keyed, "u", "chunk").groupBy("u", "chunk").cogroup(spread(weights_of(state), "u", "chunk").groupBy("u", "chunk")).applyInPandas(
             run, f"{C.USER} long, part array<double>")
         return _add_up(parts)
 
@@ -346,12 +368,12 @@ def _svr_large(rows: DataFrame, grid: Sequence[tuple[float, float]], folds: int,
 def _fit_svr(rows: DataFrame, local, large_grid, large_folds: int, *, limit: int, rounds: int) -> DataFrame:
     few_rows, many = _by_size(rows, limit)
 
-    def small(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def small(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         w = local(*_arrays(pdf))
         return _model_row(key[0], w[-1], w[:-1])
 
-    few = few_rows.groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
-    if many.isEmpty():
+    few = spread(few_rows, C.USER).groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
+    if many is None:
         return few
     return few.unionByName(_svr_large(many, large_grid, large_folds, limit=limit, rounds=rounds))
 

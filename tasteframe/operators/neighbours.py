@@ -18,6 +18,7 @@ from tasteframe.operators import stats
 from tasteframe.operators.similarity import (
     CHUNK, HOT, SIMILARITIES, along, corated_pairs, itr_expr, itr_user_stats, salted_pairs, with_user_stats,
 )
+from tasteframe.scratch import materialise, spread
 
 
 def _target_axis(targets: DataFrame, axis: str) -> DataFrame:
@@ -32,17 +33,23 @@ def neighbour_lookup(
 
     Targets on ordinary y go through the raters of y. Targets on hot y start from the neighbours of x
     and look up their rating of y, so the raters of a hot y are never paired with its targets.
+    Eager in one small step: it looks whether any y is hot.
     """
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
-    sized = targets.join(sizes, "y")
-    some = sized.where(F.col("n_y") <= hot).select("x", "y", F.lit(0.0).alias("r"))
-    via_y = salted_pairs(some, base, sizes, chunk=chunk).select(F.col("u").alias("x"), "y", "v", F.col("rv").alias("r"))
     s = sims.select(F.col("u").alias("x"), "v", "sim")
-    cold = via_y.join(s, ["x", "v"])
-    many = sized.where(F.col("n_y") > hot).select("x", "y")
-    via_sim = many.join(s, "x").join(base.select(F.col("x").alias("v"), "y", "r"), ["v", "y"])
     cols = ["x", "y", "v", "sim", "r"]
-    return cold.select(*cols).unionByName(via_sim.select(*cols))
+
+    def via_raters(some: DataFrame) -> DataFrame:
+        pairs = salted_pairs(some.select("x", "y", F.lit(0.0).alias("r")), base, sizes, chunk=chunk)
+        pairs = pairs.select(F.col("u").alias("x"), "y", "v", F.col("rv").alias("r"))
+        return pairs.join(s, ["x", "v"]).select(*cols)
+
+    popular = sizes.where(F.col("n_y") > hot)
+    if popular.isEmpty():
+        return via_raters(targets)
+    many = targets.join(popular.select("y"), "y", "left_semi")
+    via_sim = many.join(s, "x").join(base.select(F.col("x").alias("v"), "y", "r"), ["v", "y"])
+    return via_raters(targets.join(popular.select("y"), "y", "left_anti")).unionByName(via_sim.select(*cols))
 
 
 def _top_k_estimate(candidates: DataFrame, k: int) -> DataFrame:
@@ -73,10 +80,12 @@ def knn_predict(
 
     ``centred``: mean_x + sum(s * (r - mean_v)) / sum(s), and mean_x below ``min_k`` neighbours.
     Otherwise: sum(s * r) / sum(s), impossible below ``min_k``. Impossible predictions, and those for
-    unknown users or items, take the global mean.
+    unknown users or items, take the global mean. The ratings are written to the shared folder once,
+    since every step reads them.
     """
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "knn-train")
     base = along(train, axis)
-    want = _target_axis(targets, axis)
+    want = materialise(_target_axis(targets, axis), "knn-targets")
     if sims is None:
         sims = SIMILARITIES[sim](train, axis=axis, min_support=min_support, left=want, hot=hot, chunk=chunk)
     sims = sims.where(F.col("sim") > 0)
@@ -128,8 +137,9 @@ def user_knn_itr(train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: in
 
     Below ``min_k`` neighbours, and for unknown items, the user mean; unknown users take the global mean.
     """
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "itr-train")
     base = along(train, "user")
-    want = _target_axis(targets, "user")
+    want = materialise(_target_axis(targets, "user"), "itr-targets")
     user_stats = itr_user_stats(train)
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
     raters = salted_pairs(want.withColumn("r", F.lit(0.0)), base, sizes, chunk=chunk).select("u", "y", "v", F.col("rv").alias("r"))
@@ -157,7 +167,8 @@ def content_knn(
     targets are cut into tiles of at most ``rows_per_tile`` rows (more tiles for larger users); a tile
     multiplies its two blocks and passes on only the k best per target.
     """
-    want = targets.select(C.USER, C.ITEM).distinct()
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "content-train")
+    want = materialise(targets.select(C.USER, C.ITEM).distinct(), "content-targets")
     rated = train.join(features, C.ITEM).select(C.USER, C.ITEM, C.RATING, "features")
     means = rated.groupBy(C.USER).agg(F.avg(C.RATING).alias("mean"), F.count("*").alias("n"))
     asked = want.join(features, C.ITEM)
@@ -195,7 +206,7 @@ def content_knn(
         })
 
     keys = ["u", "tb", "rb"]
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    near = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInPandas(
         nearest, "x long, y long, v long, sim double, r double")
     found = near.join(means.select(F.col(C.USER).alias("x"), "mean"), "x").select(
         "x", "y", "v", "sim", (F.col("r") - F.col("mean")).alias("dev"))

@@ -6,8 +6,8 @@ on the item axis they swap. Pairs (u, v) are values of x that share values of y.
 Scale. Pair sums come from an equi-join on y. A value of y rated by n values of x makes n^2 pairs,
 so y values above ``hot`` ratings need care:
 
-* the join is salted: the ratings of a large y are cut into chunks of ``chunk`` rows, and the other
-  side visits every chunk, so no task holds a whole hot group;
+* the join is salted: the ratings of a large y are cut into chunks of about ``chunk`` rows that meet in
+  a grid of join keys, so no task holds a whole hot group;
 * with ``min_support`` m > 1, a pair that counts shares at least m values. Each x therefore leaves its
   m - 1 most rated hot values out of the pair search: two values of x sharing m values always meet on
   a value that neither leaves out. The left-out ratings are added afterwards by key lookups for the
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.functions import vectors as V
+from tasteframe.scratch import materialise, spread
 
 HOT = 20_000
 CHUNK = 5_000
@@ -38,17 +39,19 @@ def along(ratings: DataFrame, axis: str) -> DataFrame:
 
 
 def salted_pairs(left: DataFrame, right: DataFrame, sizes: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
-    """Equi-join of (x, y, r) rows on y as (u, v, y, ru, rv) with u <> v, hot y cut into chunks of the right side."""
+    """Equi-join of (x, y, r) rows on y as (u, v, y, ru, rv) with u <> v.
+
+    A large y is cut into c chunks on both sides; the chunks meet in a c x c grid of join keys, so one
+    key holds at most about chunk x chunk pairs.
+    """
     chunks = sizes.select("y", F.ceil(F.col("n_y") / chunk).cast("int").alias("c"))
-    r = right.join(chunks, "y").select(
-        F.col("x").alias("v"), "y", F.col("r").alias("rv"),
-        F.pmod(F.xxhash64("x"), F.col("c")).cast("int").alias("salt"),
-    )
-    le = left.join(chunks, "y").select(
-        F.col("x").alias("u"), "y", F.col("r").alias("ru"),
-        F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("salt"),
-    )
-    return le.join(r, ["y", "salt"]).where(F.col("u") != F.col("v")).select("u", "v", "y", "ru", "rv")
+    own = F.pmod(F.xxhash64("x"), F.col("c")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("c") - 1))
+    r = right.join(chunks, "y").select(F.col("x").alias("v"), "y", F.col("r").alias("rv"), own.alias("rc"), every.alias("lc"))
+    le = left.join(chunks, "y").select(F.col("x").alias("u"), "y", F.col("r").alias("ru"), own.alias("lc"), every.alias("rc"))
+    keys = ["y", "lc", "rc"]
+    joined = spread(le, *keys).join(spread(r, *keys), keys)
+    return joined.where(F.col("u") != F.col("v")).select("u", "v", "y", "ru", "rv")
 
 
 def _sum_pairs(pairs: DataFrame) -> DataFrame:
@@ -66,6 +69,7 @@ def corated_pairs(
     """Sums over common ratings per pair (u, v) with at least ``min_support`` of them.
 
     ``left``: a table with a column x; only these ids appear as u. ``ordered`` keeps u < v.
+    With ``min_support`` > 1 this is eager in one small step: it looks whether any y is hot.
     """
     base = along(ratings, axis)
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
@@ -74,17 +78,17 @@ def corated_pairs(
     def keep(pairs: DataFrame) -> DataFrame:
         return pairs.where("u < v") if ordered else pairs
 
-    if min_support <= 1:
-        return _sum_pairs(keep(salted_pairs(asked, base, sizes, chunk=chunk)))
-
     popular = sizes.where(F.col("n_y") > hot)
+    if min_support <= 1 or popular.isEmpty():
+        pairs = _sum_pairs(keep(salted_pairs(asked, base, sizes, chunk=chunk)))
+        return pairs if min_support <= 1 else pairs.where(F.col("n") >= min_support)
     order = W.partitionBy("x").orderBy(F.col("n_y").desc(), "y")
     left_out = base.join(popular, "y").withColumn("k", F.row_number().over(order)).where(
         F.col("k") <= min_support - 1
     ).select("x", "y", "r")
     searched = base.join(left_out.select("x", "y"), ["x", "y"], "left_anti")
     asked_searched = searched if left is None else searched.join(left.select("x").distinct(), "x", "left_semi")
-    found = _sum_pairs(keep(salted_pairs(asked_searched, searched, sizes, chunk=chunk)))
+    found = materialise(_sum_pairs(keep(salted_pairs(asked_searched, searched, sizes, chunk=chunk))), "pairs")
 
     pairs = found.select("u", "v")
     by_u = pairs.join(left_out.select(F.col("x").alias("u"), "y", F.col("r").alias("ru")), "u").join(

@@ -187,7 +187,7 @@ def predictions_of(fit):
 
 query("user_elasticnet_tiered")(predictions_of(lambda rows: linear.user_elasticnet_tiered(rows, tiers=(20, 40, 60))))
 query("user_linear_svr")(predictions_of(linear.user_linear_svr))
-query("user_linear_svr_tiered")(predictions_of(lambda rows: linear.user_linear_svr_tiered(rows, tiers=(30, 50))))
+query("user_linear_svr_tiered")(predictions_of(lambda rows: linear.user_linear_svr_tiered(rows, tiers=(42, 48))))
 
 
 @query("ratings_with_features", f"SELECT userId, movieId, rating, {dec('xa', 6)} AS xa, {dec('xb', 6)} AS xb FROM train LEFT JOIN x2 ON movieId = mid")

@@ -1,4 +1,4 @@
-"""Where jobs keep written tables that cut a long lineage."""
+"""Where jobs keep written tables that cut a long lineage, and how many tasks heavy groups get."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,3 +29,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the keys into the session's number of shuffle partitions.
+
+    For steps whose work is far larger than their input (pair joins, grouped Python calls): adaptive
+    coalescing looks at input bytes and would put them into a few tasks. The following join or group
+    on the same keys needs no further shuffle.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *[F.col(k) for k in keys])
