@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -158,6 +159,19 @@ def _arrays(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(pdf["features"].to_numpy()).astype(float), pdf[C.RATING].to_numpy(dtype=float)
 
 
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    table = table.sort_by(C.ITEM)
+    x = table["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+    return x, table[C.RATING].to_numpy()
+
+
+def _model_table(user: pa.Scalar, intercept: float, coef: np.ndarray) -> pa.Table:
+    return pa.table({
+        C.USER: pa.array([user.as_py()], pa.int64()), "intercept": pa.array([float(intercept)], pa.float64()),
+        "coef": pa.array([np.asarray(coef, dtype=float)], pa.list_(pa.float64())),
+    })
+
+
 def _model_row(user: int, intercept: float, coef: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({C.USER: [user], "intercept": [float(intercept)], "coef": [np.asarray(coef, dtype=float)]})
 
@@ -180,9 +194,9 @@ def fit_users(
     """Fit every user: ``local(X, y)`` up to ``limit`` ratings, ``from_moments`` on summed chunks above."""
     few_rows, many_rows = _by_size(rows, limit)
 
-    def small(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        b, w = local(*_arrays(pdf))
-        return _model_row(key[0], b, w)
+    def small(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        b, w = local(*_matrix(table))
+        return _model_table(key[0], b, w)
 
     def sums(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = _arrays(pdf)
@@ -202,7 +216,7 @@ def fit_users(
             if out:
                 yield pd.concat(out)
 
-    few = spread(few_rows, C.USER).groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
+    few = spread(few_rows, C.USER).groupBy(C.USER).applyInArrow(small, MODEL_SCHEMA)
     if many_rows is None:
         return few
     parts = spread(_chunked(many_rows, limit).drop("n_user"), C.USER, "chunk").groupBy(C.USER, "chunk").applyInPandas(sums, f"{C.USER} long, part array<double>")
@@ -368,11 +382,11 @@ def _svr_large(rows: DataFrame, grid: Sequence[tuple[float, float]], folds: int,
 def _fit_svr(rows: DataFrame, local, large_grid, large_folds: int, *, limit: int, rounds: int) -> DataFrame:
     few_rows, many = _by_size(rows, limit)
 
-    def small(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        w = local(*_arrays(pdf))
-        return _model_row(key[0], w[-1], w[:-1])
+    def small(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        w = local(*_matrix(table))
+        return _model_table(key[0], w[-1], w[:-1])
 
-    few = spread(few_rows, C.USER).groupBy(C.USER).applyInPandas(small, MODEL_SCHEMA)
+    few = spread(few_rows, C.USER).groupBy(C.USER).applyInArrow(small, MODEL_SCHEMA)
     if many is None:
         return few
     return few.unionByName(_svr_large(many, large_grid, large_folds, limit=limit, rounds=rounds))

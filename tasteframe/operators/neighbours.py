@@ -7,7 +7,7 @@ from __future__ import annotations
 
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -159,7 +159,7 @@ def user_knn_itr(train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: in
 
 def content_knn(
     train: DataFrame, targets: DataFrame, features: DataFrame, *, k: int = C.CONTENT_KNN_K,
-    rows_per_tile: int = 4096, clip: bool = True,
+    rows_per_tile: int = 4096, rows_per_block: int = 5_000, clip: bool = True,
 ) -> DataFrame:
     """mean_u + sum(s * (r - mean_u)) / (sum|s| + 1e-8) over the k rated items closest to the target item.
 
@@ -176,37 +176,45 @@ def content_knn(
     tiles = means.join(n_asked, C.USER).select(
         C.USER, F.ceil(F.col("n") / rows_per_tile).cast("int").alias("rt"),
         F.ceil(F.col("m") / rows_per_tile).cast("int").alias("tt"))
-
+    # Ordinary users (one tile) share a group with others; there are enough groups to keep each small.
+    blocks = max(1, train.count() // rows_per_block)
+    block = F.pmod(F.xxhash64(C.USER), F.lit(blocks)).cast("int")
     part = lambda n: F.pmod(F.xxhash64(C.ITEM), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = asked.join(tiles, C.USER).select(
-        F.col(C.USER).alias("u"), part("tt").alias("tb"), every("rt").alias("rb"),
+        block.alias("ub"), F.col(C.USER).alias("u"), part("tt").alias("tb"), every("rt").alias("rb"),
         F.col(C.ITEM).alias("target"), F.col("features").alias("tvec"))
     right = rated.join(tiles, C.USER).select(
-        F.col(C.USER).alias("u"), every("tt").alias("tb"), part("rt").alias("rb"),
+        block.alias("ub"), F.col(C.USER).alias("u"), every("tt").alias("tb"), part("rt").alias("rb"),
         F.col(C.ITEM).alias("other"), F.col(C.RATING).alias("r"), F.col("features").alias("rvec"))
 
-    def unit(column: pd.Series) -> np.ndarray:
-        m = np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
+    def unit_rows(column: pa.ChunkedArray) -> np.ndarray:
+        m = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
         norms = np.linalg.norm(m, axis=1, keepdims=True)
         return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
-    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"x": [], "y": [], "v": [], "sim": [], "r": []})
-        b = b.sort_values("other")
-        sims = np.floor(unit(a["tvec"]) @ unit(b["rvec"]).T * 1e9 + 0.5) / 1e9
-        top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        s = np.take_along_axis(sims, top, axis=1)
-        rows, cols = np.nonzero(s > 0)
-        pick = top[rows, cols]
-        return pd.DataFrame({
-            "x": a["u"].to_numpy()[rows], "y": a["target"].to_numpy()[rows],
-            "v": b["other"].to_numpy()[pick], "sim": s[rows, cols], "r": b["r"].to_numpy()[pick],
-        })
-
-    keys = ["u", "tb", "rb"]
-    near = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInPandas(
+    def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
+        a, b = a.sort_by("u"), b.sort_by([("u", "ascending"), ("other", "ascending")])
+        au, bu = a["u"].to_numpy(), b["u"].to_numpy()
+        out = []
+        if len(au) and len(bu):
+            tv, rv = unit_rows(a["tvec"]), unit_rows(b["rvec"])
+            target, other, r = a["target"].to_numpy(), b["other"].to_numpy(), b["r"].to_numpy()
+            for user in np.intersect1d(au, bu):
+                ta, tb = np.searchsorted(au, [user, user + 1])
+                ra, rb = np.searchsorted(bu, [user, user + 1])
+                sims = np.floor(tv[ta:tb] @ rv[ra:rb].T * 1e9 + 0.5) / 1e9
+                top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+                s = np.take_along_axis(sims, top, axis=1)
+                rows, cols = np.nonzero(s > 0)
+                pick = ra + top[rows, cols]
+                out.append((np.full(len(rows), user), target[ta + rows], other[pick], s[rows, cols], r[pick]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 5
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=["x", "y", "v", "sim", "r"])
+
+    keys = ["ub", "tb", "rb"]
+    near = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInArrow(
         nearest, "x long, y long, v long, sim double, r double")
     found = near.join(means.select(F.col(C.USER).alias("x"), "mean"), "x").select(
         "x", "y", "v", "sim", (F.col("r") - F.col("mean")).alias("dev"))
