@@ -181,6 +181,7 @@ def clean_user_input_ratings(raw: DataFrame, *, item: str = "item", value: str =
     out = raw.select(
         *[c for c in raw.columns if c not in (item, value)],
         F.expr(f"try_cast({item} AS BIGINT)").alias(C.ITEM),
-        S.clip(F.expr(f"try_cast({value} AS DOUBLE)")).alias(C.RATING),
+        F.expr(f"try_cast({value} AS DOUBLE)").alias(C.RATING),
     )
-    return out.where(F.col(C.ITEM).isNotNull() & F.col(C.RATING).isNotNull() & ~F.isnan(C.RATING))
+    valid = F.col(C.ITEM).isNotNull() & F.col(C.RATING).isNotNull() & ~F.isnan(C.RATING)
+    return out.where(valid).withColumn(C.RATING, S.clip(C.RATING))
