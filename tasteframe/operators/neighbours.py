@@ -16,7 +16,7 @@ from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators import stats
 from tasteframe.operators.similarity import (
-    CHUNK, HOT, SIMILARITIES, along, corated_pairs, itr_expr, itr_user_stats, salted_pairs, with_user_stats,
+    CHUNK, HOT, SIMILARITIES, along, itr_expr, itr_user_stats, salted_pairs,
 )
 from tasteframe.scratch import materialise, spread
 
@@ -132,25 +132,122 @@ def item_knn_basic(train, targets, *, k=40, min_k=3, **kw) -> DataFrame:
     return knn_predict(train, targets, axis="item", sim="cosine", k=k, min_k=min_k, centred=False, **kw)
 
 
-def user_knn_itr(train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: int = 3, clip: bool = True, chunk: int = CHUNK) -> DataFrame:
+def _with_itr_stats(df: DataFrame, user_stats: DataFrame, key: str) -> DataFrame:
+    cols = [c for c in user_stats.columns if c != "x"]
+    return df.join(user_stats.select(F.col("x").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in cols]), key)
+
+
+def _hot_dot() -> Column:
+    """Dot product of two users over the hot items, from their rating maps."""
+    u, v = F.col("u_hot"), F.col("v_hot")
+    zero = F.lit(0.0)
+    both = F.aggregate(F.map_keys(u), zero, lambda t, k: t + F.try_element_at(u, k) * F.coalesce(F.try_element_at(v, k), zero))
+    return F.coalesce(both, zero)
+
+
+def _itr_tile(k: int):
+    """Best k per target in one tile (targets x raters), counting common hot items only."""
+
+    def dense(items: pa.ChunkedArray, values: pa.ChunkedArray, at: dict, n: int) -> np.ndarray:
+        m = np.zeros((n, len(at)))
+        for row, (ids, rs) in enumerate(zip(items.to_pylist(), values.to_pylist())):
+            for i, r in zip(ids or (), rs or ()):
+                if i in at:
+                    m[row, at[i]] = r
+        return m
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        out = [np.zeros(0)] * 5
+        if a.num_rows and b.num_rows:
+            b = b.sort_by("v")
+            known = {i for ids in a["hot_y"].to_pylist() for i in ids or ()}
+            at = {i: c for c, i in enumerate(sorted(known))}
+            ha, hb = dense(a["hot_y"], a["hot_r"], at, a.num_rows), dense(b["hot_y"], b["hot_r"], at, b.num_rows)
+            col = lambda t, c: t[c].to_numpy()
+            na, nb = col(a, "norm")[:, None], col(b, "norm")[None, :]
+            dist = np.sqrt(np.maximum(na * na + nb * nb - 2 * (ha @ hb.T), 0))
+            gap = np.abs(col(a, "mu")[:, None] - col(b, "mu")[None, :]) * np.abs(col(a, "sd")[:, None] - col(b, "sd")[None, :])
+            sims = np.floor((1 - dist / (na + nb)) * (1 - 1 / (1 + np.exp(-gap))) * 1e9 + 0.5) / 1e9
+            sims[col(a, "u")[:, None] == col(b, "v")[None, :]] = 0
+            top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+            s = np.take_along_axis(sims, top, axis=1)
+            rows, cols = np.nonzero(s > 0)
+            pick = top[rows, cols]
+            out = [col(a, "u")[rows], np.full(len(rows), a["y"][0].as_py()), col(b, "v")[pick], s[rows, cols],
+                   col(b, "r")[pick] - col(b, "mu")[pick]]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(c, t) for c, t in zip(out, types)], names=["x", "y", "v", "sim", "dev"])
+
+    return run
+
+
+def _itr_hot_targets(want: DataFrame, base: DataFrame, user_stats: DataFrame, dots: DataFrame, sizes: DataFrame, k: int, chunk: int) -> DataFrame:
+    """Candidates (x, y, v, sim, dev) for targets on hot items, k per target and tile instead of all raters.
+
+    Users with a common ordinary item are looked up one by one with their exact similarity. For all
+    raters a tile finds the k best counting common hot items only, which is exact for the rest and never
+    too high: more common items only raise the similarity. The best k of both are the best k of all.
+    """
+    exact = want.select(F.col("x").alias("u"), "y").join(dots, "u").join(
+        base.select(F.col("x").alias("v"), "y", "r"), ["v", "y"])
+    exact = _with_itr_stats(_with_itr_stats(exact, user_stats, "u"), user_stats, "v").select(
+        F.col("u").alias("x"), "y", "v", itr_expr(F.col("suv") + _hot_dot()).alias("sim"), (F.col("r") - F.col("v_mu")).alias("dev"))
+
+    grid = sizes.select("y", F.ceil(F.col("n_y") / chunk).cast("int").alias("c"))
+    own = F.pmod(F.xxhash64("x"), F.col("c")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("c") - 1))
+    traits = user_stats.select("x", "norm", "mu", "sd", F.map_keys("hot").alias("hot_y"), F.map_values("hot").alias("hot_r"))
+    left = want.join(grid, "y").join(traits, "x").select(
+        "y", own.alias("lc"), every.alias("rc"), F.col("x").alias("u"), "norm", "mu", "sd", "hot_y", "hot_r")
+    right = base.join(want.select("y").distinct(), "y", "left_semi").join(grid, "y").join(traits, "x").select(
+        F.col("y").alias("y"), every.alias("lc"), own.alias("rc"), F.col("x").alias("v"), F.col("r").alias("r"),
+        *[F.col(c).alias(c) for c in ("norm", "mu", "sd", "hot_y", "hot_r")])
+    keys = ["y", "lc", "rc"]
+    tiles = spread(left, *keys).groupBy(*keys).cogroup(spread(right, *keys).groupBy(*keys)).applyInArrow(
+        _itr_tile(k), "x long, y long, v long, sim double, dev double")
+    both = exact.unionByName(tiles)
+    return both.groupBy("x", "y", "v").agg(F.max("sim").alias("sim"), F.max("dev").alias("dev"))
+
+
+def user_knn_itr(
+    train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: int = 3, clip: bool = True, hot: int = HOT, chunk: int = CHUNK
+) -> DataFrame:
     """ITR neighbours among all raters of the target item, with or without common items.
 
     Below ``min_k`` neighbours, and for unknown items, the user mean; unknown users take the global mean.
+    Dot products over ordinary items come from a join, those over hot items (more than ``hot`` ratings)
+    from a small map per user, so a hot item never pairs its raters. Eager in small steps.
     """
     train = materialise(train.select(C.USER, C.ITEM, C.RATING), "itr-train")
     base = along(train, "user")
     want = materialise(_target_axis(targets, "user"), "itr-targets")
-    user_stats = itr_user_stats(train)
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
-    raters = salted_pairs(want.withColumn("r", F.lit(0.0)), base, sizes, chunk=chunk).select("u", "y", "v", F.col("rv").alias("r"))
-    dots = corated_pairs(train, axis="user", left=want, chunk=chunk).select("u", "v", "suv")
+    popular = sizes.where(F.col("n_y") > hot)
+    user_stats = itr_user_stats(train)
+    ordinary, some, hot_part = base, want, F.lit(0.0)
+    has_hot = not popular.isEmpty()
+    if has_hot:
+        popular = materialise(popular, "itr-hot")
+        ordinary = base.join(popular.select("y"), "y", "left_anti")
+        some = want.join(popular.select("y"), "y", "left_anti")
+        maps = base.join(popular.select("y"), "y", "left_semi").groupBy("x").agg(
+            F.map_from_entries(F.collect_list(F.struct("y", "r"))).alias("hot"))
+        none = F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<double>"))
+        user_stats = materialise(user_stats.join(maps, "x", "left").withColumn("hot", F.coalesce("hot", none)), "itr-users")
+        hot_part = _hot_dot()
+    asked = ordinary.join(want.select("x").distinct(), "x", "left_semi")
+    pairs = salted_pairs(asked, ordinary, sizes, chunk=chunk)
+    dots = pairs.groupBy("u", "v").agg(F.sum(F.col("ru") * F.col("rv")).alias("suv"))
+    raters = salted_pairs(some.withColumn("r", F.lit(0.0)), base, sizes, chunk=chunk).select("u", "y", "v", F.col("rv").alias("r"))
     found = raters.join(dots, ["u", "v"], "left")
-    found = with_user_stats(with_user_stats(found, user_stats, "u"), user_stats, "v")
+    found = _with_itr_stats(_with_itr_stats(found, user_stats, "u"), user_stats, "v")
     found = found.select(
-        F.col("u").alias("x"), "y", "v", itr_expr(F.coalesce("suv", F.lit(0.0))).alias("sim"),
-        (F.col("r") - F.col("v_mu")).alias("dev"),
-    ).where(F.col("sim") > 0)
-    scored = want.join(_top_k_estimate(found, k), ["x", "y"], "left").join(
+        F.col("u").alias("x"), "y", "v", itr_expr(F.coalesce("suv", F.lit(0.0)) + hot_part).alias("sim"),
+        (F.col("r") - F.col("v_mu")).alias("dev"))
+    if has_hot:
+        many = want.join(popular.select("y"), "y", "left_semi")
+        found = found.unionByName(_itr_hot_targets(many, base, user_stats, dots, popular, k, chunk))
+    scored = want.join(_top_k_estimate(found.where(F.col("sim") > 0), k), ["x", "y"], "left").join(
         user_stats.select("x", F.col("mu").alias("mean")), "x", "left")
     enough = F.coalesce(F.col("actual_k") >= min_k, F.lit(False))
     est = F.col("mean") + F.when(enough, F.coalesce(F.col("num") / F.nullif(F.col("den"), F.lit(0.0)), F.lit(0.0))).otherwise(0.0)

@@ -228,6 +228,12 @@ def _(t):
     return shown(N.user_knn_itr(t.train(), t.test(), **C.ITR_PARAMS))
 
 
+@query("user_knn_itr_hot", itr_knn_sql("test", 60, 5))
+def _(t):
+    """The same model with a low hot limit: maps, lookups and tiles carry rows."""
+    return shown(N.user_knn_itr(t.train(), t.test(), **C.ITR_PARAMS, hot=24, chunk=10))
+
+
 def content_knn_sql(targets: str, k: int, rounded: bool = True) -> str:
     est = CLIP.format("coalesce(m.m, g) + coalesce(num / (den + 1e-8), 0)")
     return f"""

@@ -62,6 +62,17 @@ def test_neighbour_model_with_hot_targets(spark, skewed):
             assert r.est == pytest.approx(p.est, abs=1e-9) and r.actual_k == p.actual_k
 
 
+def test_itr_with_hot_items(skewed):
+    train = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 != 0)
+    targets = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 == 0).select(C.USER, C.ITEM)
+    plain = {(r.userId, r.movieId): r for r in neighbours.user_knn_itr(train, targets, k=10, min_k=2).collect()}
+    hot = neighbours.user_knn_itr(train, targets, k=10, min_k=2, hot=30, chunk=35).collect()
+    assert len(hot) == len(plain) and any(r.movieId == 0 for r in hot)
+    for r in hot:
+        p = plain[r.userId, r.movieId]
+        assert r.est == pytest.approx(p.est, abs=1e-7) and r.actual_k == p.actual_k
+
+
 def test_global_rank_equals_a_single_sort(skewed):
     got = ranking.popularity_rank(skewed).orderBy("rank").collect()
     want = sorted(((r.movieId, r.n) for r in got), key=lambda p: (-p[1], p[0]))
