@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
-from tasteframe.operators import stats
+from tasteframe.operators import hot_neighbours, stats
 from tasteframe.operators.similarity import (
-    CHUNK, HOT, SIMILARITIES, along, itr_expr, itr_user_stats, salted_pairs,
+    CHUNK, HOT, SIMILARITIES, along, centre_by_user, itr_expr, itr_user_stats, salted_pairs,
 )
 from tasteframe.scratch import materialise, spread
 
@@ -86,10 +86,15 @@ def knn_predict(
     train = materialise(train.select(C.USER, C.ITEM, C.RATING), "knn-train")
     base = along(train, axis)
     want = materialise(_target_axis(targets, axis), "knn-targets")
-    if sims is None:
-        sims = SIMILARITIES[sim](train, axis=axis, min_support=min_support, left=want, hot=hot, chunk=chunk)
-    sims = sims.where(F.col("sim") > 0)
-    found = neighbour_lookup(base, want, sims, hot=hot, chunk=chunk)
+    sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
+    popular = sizes.where(F.col("n_y") > hot)
+    if sims is None and min_support <= 1 and not popular.isEmpty():
+        values = along(centre_by_user(train), axis) if sim == "adjusted_cosine" else base
+        found = hot_neighbours.candidates(base, values, want, popular, sizes, sim=sim, k=k, chunk=chunk)
+    else:
+        if sims is None:
+            sims = SIMILARITIES[sim](train, axis=axis, min_support=min_support, left=want, hot=hot, chunk=chunk)
+        found = neighbour_lookup(base, want, sims.where(F.col("sim") > 0), hot=hot, chunk=chunk)
     means = base.groupBy("x").agg(F.avg("r").alias("mean"))
     if centred:
         found = found.join(means.select(F.col("x").alias("v"), F.col("mean").alias("mv")), "v").withColumn(

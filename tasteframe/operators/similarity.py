@@ -149,11 +149,14 @@ def sim_jaccard(ratings: DataFrame, *, axis: str = "user", **kw) -> DataFrame:
     return _finish(both, F.col("n") / (F.col("cu") + F.col("cv") - F.col("n")))
 
 
+def centre_by_user(ratings: DataFrame) -> DataFrame:
+    means = ratings.groupBy(C.USER).agg(F.avg(C.RATING).alias("m"))
+    return ratings.join(means, C.USER).select(C.USER, C.ITEM, (F.col(C.RATING) - F.col("m")).alias(C.RATING))
+
+
 def sim_adjusted_cosine(ratings: DataFrame, *, axis: str = "item", **kw) -> DataFrame:
     """Cosine after taking each user's mean off the ratings."""
-    means = ratings.groupBy(C.USER).agg(F.avg(C.RATING).alias("m"))
-    centred = ratings.join(means, C.USER).select(C.USER, C.ITEM, (F.col(C.RATING) - F.col("m")).alias(C.RATING))
-    return _finish(corated_pairs(centred, axis=axis, **kw), S.snap(cosine_expr()))
+    return _finish(corated_pairs(centre_by_user(ratings), axis=axis, **kw), S.snap(cosine_expr()))
 
 
 SIMILARITIES = {

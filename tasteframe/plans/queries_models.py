@@ -207,6 +207,12 @@ def _(t):
     return shown(N.item_knn_basic(t.train(), t.test(), **C.ITEM_COSINE_PARAMS))
 
 
+@query("item_knn_basic_hot", knn_sql(sims_of(COS, 1, "item"), axis="item", k=40, min_k=3, centred=False))
+def _(t):
+    """The same model with a low hot limit: maps, lookups and tiles carry rows."""
+    return shown(N.item_knn_basic(t.train(), t.test(), **C.ITEM_COSINE_PARAMS, hot=36, chunk=20))
+
+
 def itr_knn_sql(targets: str, k: int, min_k: int, rounded: bool = True) -> str:
     est = f"a0.mu + CASE WHEN coalesce(kk, 0) >= {min_k} THEN coalesce(num / nullif(den, 0), 0) ELSE 0 END"
     est = CLIP.format(f"CASE WHEN a0.mu IS NULL THEN g ELSE {est} END")

@@ -62,6 +62,21 @@ def test_neighbour_model_with_hot_targets(spark, skewed):
             assert r.est == pytest.approx(p.est, abs=1e-9) and r.actual_k == p.actual_k
 
 
+@pytest.mark.parametrize("sim", ["cosine", "msd", "pearson", "jaccard", "adjusted_cosine"])
+@pytest.mark.parametrize("axis", ["user", "item"])
+def test_neighbours_without_support_limit(skewed, axis, sim):
+    """Several hot values, targets on hot and ordinary ones, pairs that meet on hot values only."""
+    train = skewed.where((F.col(C.USER) * 3 + F.col(C.ITEM)) % 4 != 0)
+    targets = skewed.where((F.col(C.USER) * 3 + F.col(C.ITEM)) % 4 == 0).select(C.USER, C.ITEM)
+    kw = {"axis": axis, "sim": sim, "k": 6, "min_k": 1, "centred": sim != "jaccard"}
+    hot = 4 if axis == "item" else 12
+    plain = {(r.userId, r.movieId): r for r in neighbours.knn_predict(train, targets, **kw).collect()}
+    got = neighbours.knn_predict(train, targets, **kw, hot=hot, chunk=35).collect()
+    assert len(got) == len(plain)
+    off = [r for r in got if abs(r.est - plain[r.userId, r.movieId].est) > 1e-7 or r.actual_k != plain[r.userId, r.movieId].actual_k]
+    assert not off
+
+
 def test_itr_with_hot_items(skewed):
     train = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 != 0)
     targets = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 == 0).select(C.USER, C.ITEM)
