@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators.filters import active_library
+from tasteframe.scratch import materialise
 
 
 def global_mean(ratings: DataFrame) -> DataFrame:
@@ -120,7 +122,8 @@ def predictions_per_user(test: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: one row, one array in the order of ``points``.
 
-    Equal values are counted first, so the final step holds distinct values only.
+    For columns with few distinct values (counts, years, ratings): equal values are counted first and
+    the final step holds the distinct ones. ``wide_quantiles`` takes any column.
     """
     hist = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("freq"))
     return hist.agg(
@@ -128,6 +131,35 @@ def exact_quantiles(df: DataFrame, column: str, points: Sequence[float]) -> Data
     )
 
 
+def wide_quantiles(df: DataFrame, column: str, points: Sequence[float], *, bins: int = 1024) -> DataFrame:
+    """Exact quantiles of a column with any number of distinct values, in the form of ``exact_quantiles``.
+
+    Values fall into equal-width bins. Only bin totals are summed up in one task; positions inside a
+    bin are summed bin by bin, and the values at the wanted positions are picked by an aggregate.
+    Eager: the counted values are written once, being read several times.
+    """
+    v = F.col(column).cast("double")
+    hist = materialise(df.where(F.col(column).isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("freq")), "values")
+    lo, hi, n = (hist.agg(e).scalar() for e in (F.min("v"), F.max("v"), F.sum("freq")))
+    share = F.when(hi > lo, (F.col("v") - lo) / F.nullif(hi - lo, F.lit(0.0))).otherwise(0.0)
+    binned = hist.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
+    totals = binned.groupBy("bin").agg(F.sum("freq").alias("t"))
+    before = totals.select("bin", (F.sum("t").over(W.orderBy("bin")) - F.col("t")).alias("before"))
+    upto = F.sum("freq").over(W.partitionBy("bin").orderBy("v"))
+    placed = binned.withColumn("upto", upto).join(before, "bin").select(
+        "v", (F.col("before") + F.col("upto") - F.col("freq")).alias("first"), (F.col("before") + F.col("upto")).alias("end"))
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("first") <= position) & (position < F.col("end")), F.col("v")))
+
+    values = []
+    for p in points:
+        h = (n - 1) * F.lit(float(p))
+        low, high = at(F.floor(h)), at(F.ceil(h))
+        values.append(low + (high - low) * F.max(h - F.floor(h)))
+    return placed.agg(F.array(*values).alias("q"))
+
+
 ACTIVITY_POINTS = {"median": 0.5, "q10": 0.1, "q20": 0.2, "q70": 0.7, "q90": 0.9, "q95": 0.95, "q98": 0.98}
 
 
@@ -139,7 +171,7 @@ def activity_quantiles(ratings: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample std, min, quartiles, max: one row."""
-    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75]).scalar()
+    quartiles = wide_quantiles(df, column, [0.25, 0.5, 0.75]).scalar()
     c = F.col(column)
     return df.agg(
         F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
@@ -253,8 +285,6 @@ def implicit_ratings(library: DataFrame, *, user_id: int = C.IMPLICIT_USER) -> D
 
 def user_profile(ratings: DataFrame, items: DataFrame, *, n_genres: int = 3, n_items: int = 5) -> DataFrame:
     """Rating count, mean, favourite genres and best rated titles per user."""
-    from pyspark.sql import Window as W
-
     rated = ratings.join(items, C.ITEM, "left")
     base = ratings.groupBy(C.USER).agg(
         F.count("*").alias("n_ratings"), S.fixed_round(F.avg(C.RATING), 2).alias("avg_rating")

@@ -159,6 +159,16 @@ def _(t):
     return FT.feat_genre_interactions(t.items(), (("small", "ring"), ("PROMO", "small", "ring")))
 
 
+@query("n_genres", "SELECT * FROM b_n_genres")
+def _(t):
+    return FT.n_genres(t.items())
+
+
+@query("genre_popularity_mean", BLOCK + "b_genre_pop")
+def _(t):
+    return rounded(FT.genre_popularity_mean(t.items()))
+
+
 @query("feat_genre_tfidf", BLOCK + "b_genre_tfidf")
 def _(t):
     return rounded(FT.feat_genre_tfidf(t.items()))

@@ -372,6 +372,11 @@ def _(t):
     return RC.popular_fallback(t.ratings(), t.items(), named(t))
 
 
+@query("popular_unseen", f"SELECT movieId, {dec('m', 6)} AS score FROM istats WHERE movieId NOT IN (SELECT mid FROM named) ORDER BY m DESC, movieId LIMIT 50")
+def _(t):
+    return RC.popular_unseen(t.ratings(), named(t), 50).withColumn("score", R("score", 6))
+
+
 relation("wish_centre", """
     SELECT p, avg(x) AS c FROM (SELECT unnest(range(len(embedding))) AS p, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
       WHERE vec_id IN (SELECT event_id % 200 FROM events WHERE user_id IN (1, 2, 3) AND event_type = 'click')
