@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasteframe import constants as C
+from tasteframe.scratch import materialise
 
 
 def global_rank(
@@ -19,8 +20,11 @@ def global_rank(
     Rows fall into cells (value, range of the tie column). Only the cell counts are summed up in
     order; inside a cell the rows are numbered on their own. ``value`` should be a count: N counts
     that sum to R take at most sqrt(2R) distinct values, which bounds the one single-task window.
+    Eager: the rows to rank are written once, being read several times.
     """
-    lo, hi = df.agg(F.min(tie)).scalar(), df.agg(F.max(tie)).scalar()
+    df = materialise(df, "to-rank")
+    ends = df.agg(F.struct(F.min(tie).alias("lo"), F.max(tie).alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     key = F.col(value) if value else F.lit(0)
     span = F.greatest(hi - lo + 1, F.lit(1))
     cells = df.withColumns({
@@ -58,7 +62,7 @@ def long_tail(ratings: DataFrame) -> DataFrame:
     )
     # One row per distinct frequency (at most sqrt(2R)).
     mass = F.sum(F.col("frequency") * F.col("_items")).over(W.orderBy(F.col("frequency").desc()))
-    total = ratings.agg(F.count("*")).scalar()
+    total = classes.agg(F.sum(F.col("frequency") * F.col("_items"))).scalar()
     classes = classes.withColumn("_before", mass - F.col("frequency") * F.col("_items")).drop("_items")
     share = (F.col("_before") + F.col("frequency") * (F.col("rank") - F.col("_first") + 1)) / total
     return ranked.join(classes, "frequency").select(

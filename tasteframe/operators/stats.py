@@ -30,11 +30,14 @@ def item_stats(ratings: DataFrame) -> DataFrame:
 
 
 def item_stats_full(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, Bayesian mean and inverse popularity of every item."""
-    gm = global_mean_value(ratings)
-    agg = ratings.groupBy(C.ITEM).agg(
-        F.count(C.RATING).alias("n"), F.avg(C.RATING).alias("m"), F.stddev_samp(C.RATING).alias("s")
-    )
+    """Count, mean, sample deviation, Bayesian mean and inverse popularity of every item.
+
+    Eager: the sums per item are written, so that the ratings are read once.
+    """
+    agg = materialise(ratings.groupBy(C.ITEM).agg(
+        F.count(C.RATING).alias("n"), F.sum(C.RATING).alias("t"), F.stddev_samp(C.RATING).alias("s")
+    ), "item-sums").withColumn("m", F.col("t") / F.col("n"))
+    gm = agg.agg(F.sum("t") / F.sum("n")).scalar()
     base = items.select(C.ITEM).join(agg, C.ITEM, "left").select(
         C.ITEM,
         F.coalesce("n", F.lit(0)).alias("movie_n_ratings"),
@@ -66,8 +69,14 @@ def stats_with_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def scored_items(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    return stats_with_items(ratings, items).withColumn(
-        "weighted_score", weighted_score("rating_count", "rating_mean", global_mean_value(ratings))
+    """Item statistics with the score. The global mean comes from the sums per item, not from a second
+    pass over the ratings: both uses of the sums share one shuffle.
+    """
+    sums = ratings.groupBy(C.ITEM).agg(F.count(C.RATING).alias("rating_count"), F.sum(C.RATING).alias("_sum"))
+    prior = sums.agg(F.sum("_sum") / F.sum("rating_count")).scalar()
+    means = sums.select(C.ITEM, "rating_count", (F.col("_sum") / F.col("rating_count")).alias("rating_mean"))
+    return means.join(items, C.ITEM, "left").withColumn(
+        "weighted_score", weighted_score("rating_count", "rating_mean", prior)
     )
 
 

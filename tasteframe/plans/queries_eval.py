@@ -12,6 +12,7 @@ from tasteframe.operators import hybrid, ranking, stats
 from tasteframe.operators import neighbours as N
 from tasteframe.plans.queries_models import CLIP, MSD, content_knn_sql, itr_knn_sql, knn_sql, sims_of, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
+from tasteframe.scratch import materialise
 
 R = S.fixed_round
 SEEDED = "(((({seed} * 31 + abs(userId) * 7919 + 104729) % 1000003) * 31 + abs(movieId) * 7919 + 104729) % 1000003)"
@@ -30,8 +31,10 @@ relation("knn_preds", f"SELECT k.userId, k.movieId, rating, est FROM ({knn_sql(s
 
 
 def preds(t):
-    p = B.predict_bias(t.train(), t.test().select(C.USER, C.ITEM, C.RATING))
-    return p.select(C.USER, C.ITEM, C.RATING, R("est", 2).alias("est"))
+    """Bias predictions for the test rows, written once: every metric reads them several times."""
+    train = materialise(t.train().select(C.USER, C.ITEM, C.RATING), "train")
+    p = B.predict_bias(train, t.test().select(C.USER, C.ITEM, C.RATING))
+    return materialise(p.select(C.USER, C.ITEM, C.RATING, R("est", 2).alias("est")), "predictions")
 
 
 def keys(t):

@@ -18,7 +18,7 @@ from tasteframe.plans.queries_eval import keys
 from tasteframe.plans.queries_features import v1_block, v3_block
 from tasteframe.plans.queries_models import CLIP, itr_knn_sql, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
-from tasteframe.scratch import fresh_path
+from tasteframe.scratch import fresh_path, materialise
 from tasteframe.sources.sinks import union_ratings
 from tasteframe.sources.tables import clean_library
 
@@ -424,8 +424,8 @@ def _(t):
         SELECT uid AS userId, mid AS movieId, floor({CLIP.format('g + bu + bi')} * 1e9 + 0.5) / 1e9 AS est FROM bias_u JOIN bias_i ON true, train_gm
         WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = uid AND t.movieId = mid)) x) y WHERE rank <= 10""")
 def _(t):
-    train = t.train()
-    items, users = B.bias_model(train)
+    train = materialise(t.train().select(C.USER, C.ITEM, C.RATING), "train")
+    items, users = (materialise(b, "biases") for b in B.bias_model(train))
     gm = stats.global_mean_value(train)
     u = users.select(C.USER, F.array(gm + F.col("b_u"), F.lit(1.0)).alias("vec"))
     i = items.select(C.ITEM, F.array(F.lit(1.0), F.col("b_i")).alias("vec"))
