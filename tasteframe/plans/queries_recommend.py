@@ -385,11 +385,14 @@ relation("surprise", """
     SELECT v.movieId, v.cos / ln(1 + coalesce(s.n, 1)) AS score FROM (
       SELECT vec_id AS movieId, sum(x * c) / (sqrt(sum(x * x)) * sqrt(sum(c * c))) AS cos FROM (
         SELECT vec_id, unnest(range(len(embedding))) AS p, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) e JOIN wish_centre w ON e.p = w.p GROUP BY vec_id) v
-    LEFT JOIN istats s ON s.movieId = v.movieId WHERE v.movieId NOT IN (SELECT mid FROM mentioned)""")
+    LEFT JOIN istats s ON s.movieId = v.movieId WHERE v.movieId NOT IN (SELECT mid FROM mentioned)
+      AND v.movieId IN (SELECT movieId FROM items)""")
 
 
 def vectors(t):
-    return t.item_vectors().withColumnRenamed("embedding", "features")
+    """Text vectors of catalogue items."""
+    known = t.item_vectors().join(t.items().select(C.ITEM), C.ITEM, "left_semi")
+    return known.withColumnRenamed("embedding", "features")
 
 
 @query("surprise_scores", f"SELECT movieId, {dec('score', 6)} AS group_score FROM surprise")
@@ -429,7 +432,7 @@ def _(t):
     gm = stats.global_mean_value(train)
     u = users.select(C.USER, F.array(gm + F.col("b_u"), F.lit(1.0)).alias("vec"))
     i = items.select(C.ITEM, F.array(F.lit(1.0), F.col("b_i")).alias("vec"))
-    out = scoring.top_n_unseen(u, i, train, users_per_block=256, items_per_block=512)
+    out = scoring.top_n_unseen(u, i, train)
     return out.withColumn("est", R("est", 6))
 
 
