@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
-from tasteframe.operators import hybrid, ranking, stats
+from tasteframe.operators import hybrid, ranking
 from tasteframe.operators.catalogue import enrich_with_metadata
 from tasteframe.operators.filters import exclude_seen, mentioned_items
 from tasteframe.operators.linear import content_predict, explain, explain_without_model

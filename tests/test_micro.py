@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,7 +211,3 @@ def test_random_predictions_repeat_and_stay_on_the_scale(ratings):
     own = by(baselines.predict_random_sample(ratings, ratings), C.USER, C.ITEM)
     mine = {u: {r.rating for r in ratings.where(F.col(C.USER) == u).collect()} for u in (1, 2, 3, 4)}
     assert all(r.est in mine[u] for (u, _), r in own.items())
-
-
-def test_ndcg_discount():
-    assert 1 / math.log2(2) == 1.0
