@@ -148,3 +148,11 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         raise RuntimeError("components did not settle")
     stars = e.select(F.col("v").alias("node"), F.col("u").alias("root"))
     return stars.union(e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
+
+
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Runs of ASCII letters, digits and characters beyond ASCII, A-Z lower-cased."""
+    return (text or "").encode("utf-8", "replace").translate(_PLAIN).split()
