@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import decontaminate, mixing, near_dedup, quality, warc
+from tasteframe.llm import decontaminate, licenses, mixing, near_dedup, neighbours, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_warc", warc.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op1_licenses", licenses.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
