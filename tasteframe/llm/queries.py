@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import decontaminate, licenses, mixing, near_dedup, neighbours, quality, warc
+from tasteframe.llm import decontaminate, html_text, licenses, mixing, near_dedup, neighbours, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_neighbours")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
