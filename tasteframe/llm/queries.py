@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import decontaminate, html_text, licenses, mixing, near_dedup, neighbours, quality, warc
+from tasteframe.llm import decontaminate, html_text, language_model, licenses, mixing, near_dedup, neighbours, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_text")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op3_language_model")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
