@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import decontaminate, html_text, language_model, licenses, mixing, near_dedup, neighbours, quality, warc
+from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, mixing, near_dedup, neighbours, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_language_model")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@query("op7_chat_format", chat.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
