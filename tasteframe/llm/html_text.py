@@ -267,7 +267,7 @@ LAYOUTS = [
 _MARK = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 #: How often a layout counts, and the most corpus pages that are labelled by their own markup.
 LAYOUT_WEIGHT, SAMPLE = 40, 500
-#: Weight of the corpus pages against the layouts, however many of them are labelled.
+#: Weight of the corpus pages against the layouts, however many of them are labelled; one page counts once at most.
 CORPUS_SHARE = 0.25
 REST = frozenset("nav aside footer header form dialog menu".split())
 
@@ -320,7 +320,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
     for r in few.mapInArrow(run, "name string, label int, n long").groupBy("name", "label").agg(F.sum("n").alias("n")).collect():
         total[r.name, r.label] += r.n
     pages_seen = max(1, total.get(("page", 1), 0))
-    scale = LAYOUT_WEIGHT * len(LAYOUTS) * CORPUS_SHARE / pages_seen
+    scale = min(1.0, LAYOUT_WEIGHT * len(LAYOUTS) * CORPUS_SHARE / pages_seen)
     counts = {k: v * scale for k, v in total.items()}
     for layout in LAYOUTS:
         for k, v in _counts(*labelled_layout(layout)).items():
