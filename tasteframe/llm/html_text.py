@@ -267,6 +267,8 @@ LAYOUTS = [
 _MARK = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 #: How often a layout counts, and the most corpus pages that are labelled by their own markup.
 LAYOUT_WEIGHT, SAMPLE = 40, 500
+#: Prior probability that the root is content: plain text without blocks is kept.
+ROOT = 0.6
 #: Weight of the corpus pages against the layouts, however many of them are labelled; one page counts once at most.
 CORPUS_SHARE = 0.25
 REST = frozenset("nav aside footer header form dialog menu".split())
@@ -332,7 +334,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
     for p in (0, 1):
         both = [counts.get((f"pair:{p}", y), 0) + 1 for y in (0, 1)]
         pair.append(tuple(x / sum(both) for x in both))
-    return Model(weights, tuple(pair), 0.5)
+    return Model(weights, tuple(pair), ROOT)
 
 
 def _counts(nodes: list[Node], labels: list[int]) -> Counter:
