@@ -12,6 +12,9 @@ TIMESTAMP = "timestamp"
 TITLE = "title"
 GENRES = "genres"
 
+# One set of CSV options for all readers and writers: quotes are doubled inside quotes.
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
 # Rating scale and special ids (fixed values).
 RATING_MIN = 0.5
 RATING_MAX = 5.0

@@ -47,7 +47,7 @@ def predict_random_sample(train: DataFrame, targets: DataFrame, *, seed: int = 0
     upto = F.sum("c").over(W.partitionBy(C.USER).orderBy(C.RATING))
     total = F.sum("c").over(W.partitionBy(C.USER))
     bands = counts.select(C.USER, F.col(C.RATING).alias("est"), (upto - F.col("c")).alias("lo"), upto.alias("hi"), total.alias("n"))
-    at = ranking.seeded_order(C.USER, C.ITEM, seed=seed) % F.col("n")
+    at = ranking.seeded_number(C.USER, C.ITEM, seed=seed) % F.col("n")
     keys = targets.select(C.USER, C.ITEM)
     picked = keys.join(bands, C.USER).where((at >= F.col("lo")) & (at < F.col("hi"))).select(C.USER, C.ITEM, "est")
     return prediction_fallback(targets.join(picked, [C.USER, C.ITEM], "left"), train)

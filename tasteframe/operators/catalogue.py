@@ -77,25 +77,41 @@ def preview_texts(metadata: DataFrame, n: int = 150) -> DataFrame:
     )
 
 
+#: Users that an item meets in one row of ``user_item_pairs``.
+BLOCK = 1000
+
+
 def ratings_with_features(ratings: DataFrame, features: DataFrame) -> DataFrame:
     """Each rating with its item's feature array (null where the item is not in the catalogue)."""
     return ratings.select(C.USER, C.ITEM, C.RATING).join(features, C.ITEM, "left")
 
 
-def anti_testset(ratings: DataFrame, users: Sequence[int], *, max_users: int = 1000) -> DataFrame:
-    """Every rated-by-someone item the given users have not rated, filled with the global mean.
+def user_item_pairs(users: Sequence[int] | DataFrame, items: DataFrame) -> DataFrame:
+    """(userId, movieId) of all given users and items: the list that was asked for, as large as their product.
 
-    The pairs are (number of given users) x (number of items); the user list is a parameter and
-    bounded. For all users at once, score with ``scoring.top_n_unseen``, which never lists pairs.
+    Users are dealt into blocks of about BLOCK ids; an item meets each block once, so no join row holds more than a block. To get
+    only the best items of very many users, ``scoring.top_n_unseen`` lists no pairs.
     """
-    if len(users) > max_users:
-        raise ValueError(f"anti_testset lists pairs for at most {max_users} users; use top_n_unseen")
-    known = ratings.where(F.col(C.USER).isin([int(u) for u in users])).select(C.USER, C.ITEM)
-    ids = F.array_intersect(
-        F.array(*[F.lit(int(u)).cast("long") for u in users]),
-        known.agg(F.collect_set(C.USER)).scalar(),
-    )
-    pairs = ratings.select(C.ITEM).distinct().select(F.explode(ids).alias(C.USER), C.ITEM)
+    spark = items.sparkSession
+    if not isinstance(users, DataFrame):
+        users = spark.createDataFrame([(int(u),) for u in users], f"{C.USER} long")
+    users = users.select(F.col(C.USER).cast("long").alias(C.USER)).dropna().distinct()
+    blocks = max(1, -(-users.count() // BLOCK))
+    dealt = users.groupBy(F.pmod(F.xxhash64(C.USER), F.lit(blocks)).alias("_block")).agg(F.collect_list(C.USER).alias("_users"))
+    spread = items.select(C.ITEM, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+    return spread.join(dealt, "_block").select(F.explode("_users").alias(C.USER), C.ITEM)
+
+
+def anti_testset(ratings: DataFrame, users: Sequence[int] | DataFrame) -> DataFrame:
+    """Every rated-by-someone item the given users (a list, or a table) have not rated, filled with the global mean.
+
+    Users without ratings are left out. The pairs are (number of users) x (number of items); see ``user_item_pairs``.
+    """
+    if not isinstance(users, DataFrame):
+        users = ratings.sparkSession.createDataFrame([(int(u),) for u in users], f"{C.USER} long")
+    asked = users.select(F.col(C.USER).cast("long").alias(C.USER)).distinct()
+    known = ratings.select(C.USER, C.ITEM).join(asked, C.USER, "left_semi")
+    pairs = user_item_pairs(known.select(C.USER).distinct(), ratings.select(C.ITEM).distinct())
     return pairs.join(known, [C.USER, C.ITEM], "left_anti").withColumn(
         "fill", stats.global_mean_value(ratings)
     )

@@ -12,36 +12,28 @@ from tasteframe import constants as C
 from tasteframe.scratch import materialise
 
 
-def global_rank(
-    df: DataFrame, tie: str, *, value: str | None = None, name: str = "rank", splits: int = 512
-) -> DataFrame:
-    """Unique ranks 1..N by (value descending, tie ascending) without sorting in one task.
+def in_ranges(df: DataFrame, *order: Column, name: str = "_part") -> DataFrame:
+    """Rows dealt into ranges of an order whose bounds Spark samples from the rows: even, however the values lie.
 
-    Rows fall into cells (value, range of the tie column). Only the cell counts are summed up in
-    order; inside a cell the rows are numbered on their own. ``value`` should be a count: N counts
-    that sum to R take at most sqrt(2R) distinct values, which bounds the one single-task window.
-    Eager: the rows to rank are written once, being read several times.
+    Written once, as later steps must see the same ranges. Eager.
     """
-    df = materialise(df, "to-rank")
-    ends = df.agg(F.struct(F.min(tie).alias("lo"), F.max(tie).alias("hi"))).scalar()
-    lo, hi = ends["lo"], ends["hi"]
-    key = F.col(value) if value else F.lit(0)
-    span = F.greatest(hi - lo + 1, F.lit(1))
-    cells = df.withColumns({
-        "_v": key,
-        "_b": F.floor((F.col(tie) - lo).cast("double") * splits / span).cast("int"),
-    })
-    sizes = cells.groupBy("_v", "_b").agg(F.count("*").alias("_n"))
-    before_bucket = F.sum("_n").over(W.partitionBy("_v").orderBy("_b")) - F.col("_n")
-    totals = sizes.groupBy("_v").agg(F.sum("_n").alias("_t"))
-    # At most sqrt(2R) rows: one per distinct value.
-    before_value = F.sum("_t").over(W.orderBy(F.col("_v").desc())) - F.col("_t")
-    offsets = sizes.withColumn("_bb", before_bucket).join(
-        totals.withColumn("_bv", before_value).select("_v", "_bv"), "_v"
-    )
-    local = F.row_number().over(W.partitionBy("_v", "_b").orderBy(tie))
-    ranked = cells.withColumn("_r", local).join(offsets.select("_v", "_b", "_bb", "_bv"), ["_v", "_b"])
-    return ranked.withColumn(name, F.col("_bv") + F.col("_bb") + F.col("_r")).drop("_v", "_b", "_r", "_bb", "_bv")
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    return materialise(df.repartitionByRange(n, *order).withColumn(name, F.spark_partition_id()), "ranges")
+
+
+def global_rank(df: DataFrame, *tie: str, value: str | None = None, name: str = "rank") -> DataFrame:
+    """Unique ranks 1..N by (value descending, tie columns ascending) without sorting in one task.
+
+    Rows are numbered inside sampled ranges of the order; only the row counts of the ranges are summed up. The tie
+    columns make a key: rows that agree in all of them may be numbered in any order. Eager.
+    """
+    order = [F.col(value).desc(), *map(F.col, tie)] if value else [F.col(c) for c in tie]
+    dealt = in_ranges(df, *order)
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    local = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    ranked = dealt.withColumn("_r", local).join(before, "_part")
+    return ranked.withColumn(name, F.col("_before") + F.col("_r")).drop("_part", "_r", "_before")
 
 
 def popularity_rank(ratings: DataFrame) -> DataFrame:
@@ -130,6 +122,12 @@ def seeded_order(*columns: str, seed: int = 0) -> Column:
     return x
 
 
+def seeded_number(*columns: str, seed: int = 0) -> Column:
+    """A repeatable random-looking number of 60 bits: as a remainder it reaches every position of any table."""
+    text = F.concat_ws(" ", *[F.col(c).cast("string") for c in columns], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def pick_one_per_user(ratings: DataFrame, *, seed: int = 0) -> DataFrame:
     """One seeded random rating per user, by an ordinary aggregate (no sort of a user's rows)."""
     pick = F.min_by(

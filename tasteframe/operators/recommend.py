@@ -14,21 +14,28 @@ from pyspark.sql import functions as F
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators import hybrid, ranking
-from tasteframe.operators.catalogue import enrich_with_metadata
+from tasteframe.operators.catalogue import enrich_with_metadata, user_item_pairs
 from tasteframe.operators.filters import exclude_seen, mentioned_items
 from tasteframe.operators.linear import content_predict, explain, explain_without_model
 from tasteframe.operators.surprise import surprise_scores
 
 Model = Callable[[DataFrame, DataFrame], DataFrame]
-MAX_USERS = 1000
+Users = Sequence[int] | DataFrame
 
 
-def candidates(items: DataFrame, train: DataFrame, users: Sequence[int]) -> DataFrame:
-    """Every catalogue item the given users have not rated. The list of users is a bounded parameter."""
-    if len(users) > MAX_USERS:
-        raise ValueError(f"ask for at most {MAX_USERS} users at a time, or score with top_n_unseen")
-    ids = F.array(*[F.lit(int(u)).cast("long") for u in users])
-    return exclude_seen(items.select(F.explode(ids).alias(C.USER), C.ITEM), train)
+def candidates(items: DataFrame, train: DataFrame, users: Users) -> DataFrame:
+    """Every catalogue item the given users have not rated: a list of ids, or a table of any length with their column."""
+    return exclude_seen(user_item_pairs(users, items), train)
+
+
+def predict_test_set(model: Model, train: DataFrame, keys: DataFrame, *, position: str) -> DataFrame:
+    """(position, userId, movieId, rating): a row per row of ``keys`` in the order of their position column.
+
+    Keys may repeat and stand in any order; each pair is scored once.
+    """
+    wanted = keys.select(C.USER, C.ITEM).distinct()
+    scored = model(train, wanted).select(C.USER, C.ITEM, F.col("est").alias(C.RATING))
+    return keys.select(position, C.USER, C.ITEM).join(scored, [C.USER, C.ITEM], "left").select(position, C.USER, C.ITEM, C.RATING).orderBy(position)
 
 
 def _weights(models: dict[str, Model], weights: dict[str, float] | None) -> dict[str, float]:
@@ -52,7 +59,7 @@ def _present(scored: DataFrame, items: DataFrame, n: int, *, columns: Sequence[s
 
 
 def recommend(
-    train: DataFrame, items: DataFrame, users: Sequence[int], models: dict[str, Model], *,
+    train: DataFrame, items: DataFrame, users: Users, models: dict[str, Model], *,
     n: int = C.TOP_N, weights: dict[str, float] | None = None,
 ) -> DataFrame:
     """The n best unseen items of each given user by the weighted models."""
@@ -97,23 +104,21 @@ def popular_fallback(ratings: DataFrame, items: DataFrame, seen: DataFrame, *, n
         zero.alias("svd_score"), zero.alias("itr_score"), zero.alias("content_score"))
 
 
-def group_candidates(train: DataFrame, participants: DataFrame, users: Sequence[int]) -> DataFrame:
-    """Participants x rated items, without the items anyone mentioned. A group is a short list of users."""
-    if len(users) > MAX_USERS:
-        raise ValueError(f"a group has at most {MAX_USERS} participants")
-    ids = F.array(*[F.lit(int(u)).cast("long") for u in users])
+def group_candidates(train: DataFrame, participants: DataFrame) -> DataFrame:
+    """Participants x rated items, without the items anyone mentioned. Every participant must have a user_id."""
+    ids = participants.select(F.coalesce(F.col("user_id").cast("long"), F.raise_error("a participant has no user_id").cast("long")).alias(C.USER))
     pool = train.select(C.ITEM).distinct().join(mentioned_items(participants), C.ITEM, "left_anti")
-    return pool.select(F.explode(ids).alias(C.USER), C.ITEM)
+    return user_item_pairs(ids.distinct(), pool)
 
 
 def recommend_group(
-    train: DataFrame, items: DataFrame, participants: DataFrame, users: Sequence[int], models: dict[str, Model], *,
+    train: DataFrame, items: DataFrame, participants: DataFrame, models: dict[str, Model], *,
     n: int = 8, strategy: str = "average", weights: dict[str, float] | None = None,
 ) -> DataFrame:
     """Items by the mean (``average``) or the smallest (``least_misery``) of the participants' scores."""
     if strategy not in ("average", "least_misery"):
         raise ValueError("strategy must be 'average' or 'least_misery'")
-    scored = hybrid_scores(train, group_candidates(train, participants, users), models, weights)
+    scored = hybrid_scores(train, group_candidates(train, participants), models, weights)
     merge = F.min if strategy == "least_misery" else F.avg
     groups = scored.groupBy(C.ITEM).agg(
         S.fixed_round(merge("final_score"), 4).alias("group_score"), F.count("final_score").alias("n_users"))
@@ -139,7 +144,7 @@ def recommend_group_surprise(
     return _group_rows(rows, items, n)
 
 
-def surprise_me(models: DataFrame, features: DataFrame, train: DataFrame, items: DataFrame, users: Sequence[int], *, n: int = C.TOP_N) -> DataFrame:
+def surprise_me(models: DataFrame, features: DataFrame, train: DataFrame, items: DataFrame, users: Users, *, n: int = C.TOP_N) -> DataFrame:
     """Unseen items by the content model on text vectors."""
     return _single_source(content_predict(models, candidates(items, train, users), features, train), items, n)
 

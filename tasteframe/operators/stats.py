@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
+from tasteframe.operators import ranking
 from tasteframe.operators.filters import active_library
 from tasteframe.scratch import materialise
 
@@ -140,22 +141,21 @@ def exact_quantiles(df: DataFrame, column: str, points: Sequence[float]) -> Data
     )
 
 
-def wide_quantiles(df: DataFrame, column: str, points: Sequence[float], *, bins: int = 1024) -> DataFrame:
+def wide_quantiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
     """Exact quantiles of a column with any number of distinct values, in the form of ``exact_quantiles``.
 
-    Values fall into equal-width bins. Only bin totals are summed up in one task; positions inside a
-    bin are summed bin by bin, and the values at the wanted positions are picked by an aggregate.
+    Counted values are dealt into sampled ranges. Only range totals are summed up in one task; positions inside a
+    range are summed range by range, and the values at the wanted positions are picked by an aggregate.
     Eager: the counted values are written once, being read several times.
     """
     v = F.col(column).cast("double")
-    hist = materialise(df.where(F.col(column).isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("freq")), "values")
-    lo, hi, n = (hist.agg(e).scalar() for e in (F.min("v"), F.max("v"), F.sum("freq")))
-    share = F.when(hi > lo, (F.col("v") - lo) / F.nullif(hi - lo, F.lit(0.0))).otherwise(0.0)
-    binned = hist.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
-    totals = binned.groupBy("bin").agg(F.sum("freq").alias("t"))
+    hist = df.where(F.col(column).isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("freq"))
+    hist = ranking.in_ranges(hist, F.col("v"), name="bin")
+    n = hist.agg(F.sum("freq")).scalar()
+    totals = hist.groupBy("bin").agg(F.sum("freq").alias("t"))
     before = totals.select("bin", (F.sum("t").over(W.orderBy("bin")) - F.col("t")).alias("before"))
     upto = F.sum("freq").over(W.partitionBy("bin").orderBy("v"))
-    placed = binned.withColumn("upto", upto).join(before, "bin").select(
+    placed = hist.withColumn("upto", upto).join(before, "bin").select(
         "v", (F.col("before") + F.col("upto") - F.col("freq")).alias("first"), (F.col("before") + F.col("upto")).alias("end"))
 
     def at(position: Column) -> Column:

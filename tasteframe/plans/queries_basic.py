@@ -450,9 +450,9 @@ def _(t):
     return catalogue.align_to_items(t.items(), n, {"n": 0})
 
 
-@query("unrated_items", "SELECT movieId, title, genres FROM items WHERE movieId NOT IN (SELECT movieId FROM test WHERE rating = 5)")
+@query("unrated_items", "SELECT movieId, title, genres FROM items WHERE movieId NOT IN (SELECT movieId FROM ratings WHERE rating = 5)")
 def _(t):
-    return stats.unrated_items(t.items(), t.test().where(F.col(C.RATING) == C.RATING_MAX))
+    return stats.unrated_items(t.items(), t.ratings().where(F.col(C.RATING) == C.RATING_MAX))
 
 
 @query("ratings_of_selected_users", "SELECT userId, movieId, rating FROM ratings WHERE userId IN (SELECT user_id FROM events)")
@@ -482,7 +482,7 @@ def _(t):
 @query("user_directory", """
     SELECT coalesce(userId, c_custkey) AS user_id, coalesce(c_name, concat('User ', CAST(userId AS VARCHAR))) AS name
     FROM (SELECT DISTINCT userId FROM ratings) r
-    FULL JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON userId = c_custkey""")
+    FULL JOIN customer c ON userId = c_custkey""")
 def _(t):
     return catalogue.user_directory(t.ratings(), t.registered_users())
 

@@ -63,7 +63,7 @@ def _(t):
 
 @query("predict_random_sample", f"""
     SELECT t.userId, t.movieId, {dec('coalesce(r.rating, g)', 6)} AS est, r.rating IS NULL AS was_impossible
-    FROM (SELECT userId, movieId, {SEEDED.format(seed=0)} AS h FROM test) t
+    FROM (SELECT userId, movieId, CAST('0x' || substr(md5(concat(userId, ' ', movieId, ' 0')), 1, 15) AS BIGINT) AS h FROM test) t
     LEFT JOIN (SELECT userId, rating, row_number() OVER (PARTITION BY userId ORDER BY rating) - 1 AS pos, count(*) OVER (PARTITION BY userId) AS n FROM train) r
     ON r.userId = t.userId AND r.pos = t.h % r.n, train_gm""")
 def _(t):
@@ -72,9 +72,9 @@ def _(t):
 
 @query("prediction_fallback", f"""
     SELECT userId, movieId, {dec('CASE WHEN im IS NULL THEN g ELSE greatest(0.5, least(5.0, im)) END', 6)} AS est, im IS NULL AS was_impossible
-    FROM test LEFT JOIN (SELECT mid, im FROM item_means WHERE mid % 7 <> 0) m ON movieId = mid, train_gm""")
+    FROM test LEFT JOIN (SELECT mid, im FROM item_means) m ON movieId = mid, train_gm""")
 def _(t):
-    means = t.train().where(F.col(C.ITEM) % 7 != 0).groupBy(C.ITEM).agg(F.avg(C.RATING).alias("est"))
+    means = t.train().groupBy(C.ITEM).agg(F.avg(C.RATING).alias("est"))
     return B.prediction_fallback(keys(t).join(means, C.ITEM, "left"), t.train()).withColumn("est", R("est", 6))
 
 
@@ -190,9 +190,9 @@ def _(t):
 
 @query("novelty_rank", f"""
     SELECT {dec('avg(s)', 6)} AS novelty_rank FROM (
-      SELECT t.userId, sum(coalesce(k.rank, (SELECT count(*) FROM popular WHERE n > 24))) AS s FROM top10 t LEFT JOIN (SELECT * FROM popular WHERE n > 24) k ON t.movieId = k.movieId GROUP BY t.userId) x""")
+      SELECT t.userId, sum(coalesce(k.rank, (SELECT count(*) FROM popular))) AS s FROM top10 t LEFT JOIN popular k ON t.movieId = k.movieId GROUP BY t.userId) x""")
 def _(t):
-    ranks = ranking.popularity_rank(t.ratings()).where(F.col("n") > 24)
+    ranks = ranking.popularity_rank(t.ratings())
     return E.novelty_rank(ranking.top_n_per_user(preds(t)), ranks).withColumn("novelty_rank", R("novelty_rank", 6))
 
 
@@ -219,17 +219,17 @@ def blend_sql(targets: str, *, rounded: bool = True) -> str:
     blend = "(CASE WHEN s.est IS NULL THEN 0 ELSE 0.45 * s.est END + CASE WHEN c.est IS NULL THEN 0 ELSE 0.30 * c.est END + CASE WHEN i.est IS NULL THEN 0 ELSE 0.25 * i.est END) / nullif((CASE WHEN s.est IS NULL THEN 0 ELSE 0.45 END + CASE WHEN c.est IS NULL THEN 0 ELSE 0.30 END + CASE WHEN i.est IS NULL THEN 0 ELSE 0.25 END), 0)"
     return f"""
         SELECT t.userId, t.movieId, {dec(CLIP.format(blend), 6)} AS est FROM {targets} t
-        LEFT JOIN (SELECT * FROM bias_pred WHERE movieId % 5 <> 0) s ON s.userId = t.userId AND s.movieId = t.movieId
+        LEFT JOIN bias_pred s ON s.userId = t.userId AND s.movieId = t.movieId
         LEFT JOIN (SELECT * FROM ({content_knn_sql(targets, 20, rounded=False)}) c0 WHERE NOT was_impossible) c ON c.userId = t.userId AND c.movieId = t.movieId
         LEFT JOIN (SELECT * FROM ({itr_knn_sql(targets, 60, 5, rounded=False)}) i0 WHERE NOT was_impossible) i ON i.userId = t.userId AND i.movieId = t.movieId"""
 
 
 @query("hybrid_blend", blend_sql("test"))
 def _(t):
-    """Closed-form scores in the three slots; one slot is missing for some items."""
+    """Closed-form scores in the three slots; the neighbourhood slots are missing where there are too few neighbours."""
     train, want = t.train(), keys(t)
     scores = {
-        "svd": B.predict_bias(train, want).where(F.col(C.ITEM) % 5 != 0),
+        "svd": B.predict_bias(train, want),
         "content": N.content_knn(train, want, v1_arrays(t)),
         "itr": N.user_knn_itr(train, want, **C.ITR_PARAMS),
     }

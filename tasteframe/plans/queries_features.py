@@ -291,11 +291,11 @@ relation("all_v1", """
     UNION ALL SELECT * FROM b_genre_tfidf""")
 
 
-@query("feat_all_v1", BLOCK + "all_v1 WHERE feature NOT LIKE 'tag%' OR feature = 'tag_1'")
+@query("feat_all_v1", BLOCK + "all_v1")
 def _(t):
-    """All blocks of the first set, kept by a coefficient table (here: all but most relevance tags)."""
+    """All blocks of the first set, kept by a coefficient table that names every feature."""
     block = FT.block_all_v1(t.items(), lower_tags(t.tags()), t.genome_scores(), t.visuals(), t.ratings())
-    names = block.select("feature").distinct().where(~F.col("feature").startswith("tag") | (F.col("feature") == "tag_1"))
+    names = block.select("feature").distinct()
     coefs = names.select("feature", F.lit(1.0).alias("mean_abs_coef"), F.lit(0.1).alias("cv_coef"))
     return rounded(filters.select_features_by_coef(block, coefs))
 

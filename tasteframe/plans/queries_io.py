@@ -23,7 +23,7 @@ R = S.fixed_round
 
 def csv(t, df, name):
     path = fresh_path(t.spark, name) + ".csv"
-    df.write.csv(path, header=True, quote='"', escape='"')
+    sinks.write_csv(df, path)
     return path
 
 
@@ -78,7 +78,7 @@ def _(t):
 @query("load_visuals", "SELECT movieId, " + ", ".join(f"{dec(f'f{i}', 6)} AS f{i}" for i in range(1, 8)) + " FROM visuals")
 def _(t):
     root = fresh_path(t.spark, "visuals")
-    t.visuals().withColumnRenamed(C.ITEM, "ML_ID").write.csv(f"{root}/LLVisualFeatures13K_Log.csv", header=True)
+    sinks.write_csv(t.visuals().withColumnRenamed(C.ITEM, "ML_ID"), f"{root}/LLVisualFeatures13K_Log.csv")
     v = L.load_visuals(t.spark, root, "log")
     return v.select(C.ITEM, *[R(f"f{i}", 6).alias(f"f{i}") for i in range(1, 8)])
 
@@ -113,7 +113,7 @@ def _(t):
     return L.load_library(t.spark, path)
 
 
-relation("signed_up", "SELECT c_custkey AS user_id, c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING'")
+relation("signed_up", "SELECT c_custkey AS user_id, c_name AS name FROM customer")
 
 
 @query("load_registered_users", """
@@ -126,13 +126,13 @@ def _(t):
 
 
 @query("upsert_registered_user", """
-    SELECT user_id, CASE WHEN user_id % 3 = 0 THEN concat(name, ' (new)') ELSE name END AS name FROM signed_up
-    UNION ALL SELECT c_custkey, concat(c_name, ' (new)') FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_custkey % 3 = 0""")
+    SELECT coalesce(s_suppkey, user_id) AS user_id, coalesce(s_name || ' (new)', name) AS name
+    FROM signed_up FULL JOIN (SELECT s_suppkey + 100 AS s_suppkey, s_name FROM supplier) s ON s_suppkey = user_id""")
 def _(t):
+    """Suppliers sign up with ids that partly exist: those users are replaced, the others are added."""
     users = t.registered_users()
-    c = t.read("customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY") & (F.col("c_custkey") % 3 == 0))
-    changes = c.select(
-        F.col("c_custkey").alias("user_id"), F.concat("c_name", F.lit(" (new)")).alias("name"),
+    changes = t.read("supplier").select(
+        (F.col("s_suppkey") + 100).alias("user_id"), F.concat("s_name", F.lit(" (new)")).alias("name"),
         F.lit(None).cast("map<string,double>").alias("ratings"))
     path = fresh_path(t.spark, "upserted")
     sinks.write_registered_users(sinks.upsert_registered_user(users, changes), path)

@@ -16,9 +16,14 @@ def report_path(root: str, day: datetime.date | None = None) -> str:
     return f"{root.rstrip('/')}/report_{day:%Y_%m_%d}.csv"
 
 
+def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """CSV as the readers expect it: header, quotes doubled inside quotes, empty texts apart from nulls."""
+    df.write.mode(mode).options(**C.CSV).csv(path)
+
+
 def write_report(report: DataFrame, root: str, day: datetime.date | None = None) -> str:
     path = report_path(root, day)
-    report.write.mode("overwrite").csv(path, header=True)
+    write_csv(report, path)
     return path
 
 
@@ -34,7 +39,7 @@ def append_implicit_ratings(explicit: DataFrame, implicit: DataFrame, path: str)
 
 
 def write_implicit_ratings(implicit: DataFrame, path: str) -> None:
-    implicit.select(C.USER, C.ITEM, C.RATING, C.TIMESTAMP).write.mode("overwrite").csv(path, header=True)
+    write_csv(implicit.select(C.USER, C.ITEM, C.RATING, C.TIMESTAMP), path)
 
 
 def library_template(ratings: DataFrame, items: DataFrame, n: int = C.LIBRARY_TEMPLATE_SIZE) -> DataFrame:
@@ -44,7 +49,7 @@ def library_template(ratings: DataFrame, items: DataFrame, n: int = C.LIBRARY_TE
 
 
 def write_library_template(ratings: DataFrame, items: DataFrame, path: str) -> None:
-    library_template(ratings, items).write.mode("overwrite").csv(path, header=True)
+    write_csv(library_template(ratings, items), path)
 
 
 def write_metadata_features(metadata: DataFrame, path: str) -> None:
@@ -61,7 +66,7 @@ def write_embeddings(vectors: DataFrame, path: str) -> None:
 
 def write_coefficients(coefficients: DataFrame, path: str) -> None:
     """Keep an existing reference table; write only where there is none."""
-    coefficients.write.mode("ignore").csv(path, header=True)
+    write_csv(coefficients, path, mode="ignore")
 
 
 def write_params(spark: SparkSession, params: dict, rmse: float, path: str) -> None:

@@ -14,9 +14,9 @@ from tasteframe.operators.filters import validate_columns
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None) -> DataFrame:
     kind = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if kind == "csv":
-        return spark.read.schema(schema).csv(
-            path, header=True, multiLine=False, quote='"', escape='"'
-        )
+        # Numbers have no line breaks: such files may be split; texts may hold them in quotes.
+        text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+        return spark.read.schema(schema).options(**C.CSV, multiLine=text).csv(path)
     if kind == "json":
         return spark.read.schema(schema).json(path)
     return spark.read.schema(schema).parquet(path)

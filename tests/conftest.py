@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tasteframe import constants as C  # noqa: E402
+from tasteframe.shipping import ship  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,6 +25,7 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("OFF")
+    ship(s)
     yield s
     s.stop()
 
