@@ -8,6 +8,7 @@ All models are tables (userId, intercept, coef).
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -15,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -64,11 +65,11 @@ def solve_ridge(m: Moments, alpha: float) -> np.ndarray:
     return np.linalg.solve(m.g + alpha * np.eye(len(m.c)), m.c)
 
 
-def solve_elastic_net(m: Moments, alpha: float, l1_ratio: float, *, max_iter: int = 5000) -> np.ndarray:
+def solve_elastic_net(m: Moments, alpha: float, l1_ratio: float, *, max_iter: int = 100_000) -> np.ndarray:
     """Minimum of 1/(2n)|y - Xw|^2 + alpha l1 |w|_1 + alpha (1 - l1)/2 |w|^2 from the moments.
 
     Accelerated proximal steps find the nonzero entries; these are then solved for exactly, and the
-    solution is taken when it meets the optimality conditions.
+    solution is taken when it meets the optimality conditions. A warning says so if none does.
     """
     p = len(m.c)
     l1, l2 = m.n * alpha * l1_ratio, m.n * alpha * (1 - l1_ratio)
@@ -99,6 +100,7 @@ def solve_elastic_net(m: Moments, alpha: float, l1_ratio: float, *, max_iter: in
             off = np.setdiff1d(np.arange(p), on)
             if np.all(slack[on] <= tol) and np.all(slack[off] <= l1 + tol):
                 return exact
+    warnings.warn(f"elastic net did not meet the optimality conditions in {max_iter} steps", RuntimeWarning, stacklevel=2)
     return w
 
 
@@ -121,18 +123,25 @@ SVR_ROUNDS = 60
 
 
 def solve_svr(x: np.ndarray, y: np.ndarray, cost: float, epsilon: float, rounds: int = SVR_ROUNDS) -> np.ndarray:
-    """|w|^2/2 + C sum max(0, |y - xw - b| - eps), the intercept b being the last weight, by majorisation."""
+    """|w|^2/2 + C sum max(0, |y - xw - b| - eps), the intercept b being the last weight, by majorisation.
+
+    The same number of steps from zero as for users whose rows are cut into chunks.
+    """
     z = np.hstack([x, np.ones((len(y), 1))])
-    w = np.linalg.solve(z.T @ z + np.eye(z.shape[1]), z.T @ y)
+    w = np.zeros(z.shape[1])
     for _ in range(rounds):
-        new = svr_step(*svr_sums(z, y, w, epsilon), cost)
-        done = np.max(np.abs(new - w)) < 1e-7
-        w = new
-        if done:
-            break
+        w = svr_step(*svr_sums(z, y, w, epsilon), cost)
     return w
 
 
+#: Folds are remainders of a hash of the item id, whatever the size of the user; FOLD_BASE is a multiple of all fold counts.
+FOLD_BASE = 15
+
+
+def fold_number() -> Column:
+    return F.pmod(F.xxhash64(C.ITEM, F.lit(7)), F.lit(FOLD_BASE)).cast("int")
+
+
 def contiguous_folds(n: int, k: int) -> list[np.ndarray]:
     """k validation index blocks in row order; the first n % k blocks hold one more row."""
     return [b for b in np.array_split(np.arange(n), k) if len(b)]
@@ -233,13 +242,11 @@ def _by_moments(solve: Callable[[Moments], np.ndarray]):
 
 
 def user_linear(rows: DataFrame, *, limit: int = LIMIT) -> DataFrame:
-    """Least squares with intercept; the smallest solution where the features do not determine one."""
-    def local(x, y):
-        mx, my = x.mean(axis=0), y.mean()
-        w = np.linalg.lstsq(x - mx, y - my, rcond=1e-10)[0]
-        return my - mx @ w, w
+    """Least squares with intercept; the smallest solution where the features do not determine one.
 
-    return fit_users(rows, local, solve_ols, limit=limit)
+    Both sizes of users are solved from centred sums, with one cut-off for dependent features.
+    """
+    return fit_users(rows, _by_moments(solve_ols), solve_ols, limit=limit)
 
 
 def user_ridge(rows: DataFrame, *, alpha: float = 1.0, limit: int = LIMIT) -> DataFrame:
@@ -314,8 +321,7 @@ def _svr_large(rows: DataFrame, grid: Sequence[tuple[float, float]], folds: int,
     of them. The state between rounds is one row per user, written to the shared folder.
     """
     problems = [(s, f) for s in range(len(grid)) for f in ([*range(folds), -1] if folds else [-1])]
-    rows = materialise(_chunked(rows, limit).withColumn(
-        "fold", F.pmod(F.xxhash64(C.ITEM, F.lit(7)), F.lit(max(folds, 1))).cast("int")), "svr-rows")
+    rows = materialise(_chunked(rows, limit).withColumn("fold", fold_number() % max(folds, 1)), "svr-rows")
     per_user = rows.groupBy(C.USER).agg(F.max("chunk").alias("last"), F.first(F.size("features")).alias("p"))
     state = per_user.select(C.USER, "last", "p", F.array_repeat(F.lit(0.0), (F.col("p") + 1) * len(problems)).alias("w"))
 
@@ -383,10 +389,10 @@ def _fit_svr(rows: DataFrame, local, large_grid, large_folds: int, *, limit: int
     few_rows, many = _by_size(rows, limit)
 
     def small(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        w = local(*_matrix(table))
+        w = local(*_matrix(table), table.sort_by(C.ITEM)["fold"].to_numpy())
         return _model_table(key[0], w[-1], w[:-1])
 
-    few = spread(few_rows, C.USER).groupBy(C.USER).applyInArrow(small, MODEL_SCHEMA)
+    few = spread(few_rows.withColumn("fold", fold_number()), C.USER).groupBy(C.USER).applyInArrow(small, MODEL_SCHEMA)
     if many is None:
         return few
     return few.unionByName(_svr_large(many, large_grid, large_folds, limit=limit, rounds=rounds))
@@ -394,7 +400,7 @@ def _fit_svr(rows: DataFrame, local, large_grid, large_folds: int, *, limit: int
 
 def user_linear_svr(rows: DataFrame, *, cost: float = 0.5, epsilon: float = 0.5, limit: int = LIMIT, rounds: int = SVR_ROUNDS) -> DataFrame:
     """Linear support vector regression. Eager: looks whether any user is above the limit."""
-    return _fit_svr(rows, lambda x, y: solve_svr(x, y, cost, epsilon), [(cost, epsilon)], 0, limit=limit, rounds=rounds)
+    return _fit_svr(rows, lambda x, y, _: solve_svr(x, y, cost, epsilon, rounds), [(cost, epsilon)], 0, limit=limit, rounds=rounds)
 
 
 def user_linear_svr_tiered(rows: DataFrame, *, tiers: Sequence[int] = SVR_TIERS, limit: int = LIMIT, rounds: int = SVR_ROUNDS) -> DataFrame:
@@ -403,19 +409,20 @@ def user_linear_svr_tiered(rows: DataFrame, *, tiers: Sequence[int] = SVR_TIERS,
     if limit < mid:
         raise ValueError("limit must not be below the last tier")
 
-    def local(x, y):
+    def local(x, y, fold):
         n = len(y)
         if n < small:
-            return solve_svr(x, y, *SVR_SMALL)
+            return solve_svr(x, y, *SVR_SMALL, rounds)
         grid, k = (SVR_GRID_MID, SVR_FOLDS_MID) if n < mid else (SVR_GRID_LARGE, SVR_FOLDS_LARGE)
         best = (np.inf, grid[0])
         for setting in grid:
             errs = []
-            for f in contiguous_folds(n, k):
-                w = solve_svr(np.delete(x, f, axis=0), np.delete(y, f), *setting)
-                errs.append(np.sqrt(np.mean((y[f] - x[f] @ w[:-1] - w[-1]) ** 2)))
+            for f in range(k):
+                out = fold % k == f
+                w = solve_svr(x[~out], y[~out], *setting, rounds)
+                errs.append(np.sqrt(np.sum((y[out] - x[out] @ w[:-1] - w[-1]) ** 2) / max(out.sum(), 1)))
             best = min(best, (float(np.mean(errs)), setting), key=lambda b: b[0])
-        return solve_svr(x, y, *best[1])
+        return solve_svr(x, y, *best[1], rounds)
 
     return _fit_svr(rows, local, SVR_GRID_LARGE, SVR_FOLDS_LARGE, limit=limit, rounds=rounds)
 

@@ -184,11 +184,22 @@ def test_svr_is_near_the_best_loss():
 def test_large_users_get_the_same_svr(training):
     rows, _ = training
     some = rows.where(F.col(C.USER) < 3)
-    whole = as_dict(linear.user_linear_svr(some, cost=0.5, epsilon=0.25, rounds=8))
-    parts = as_dict(linear.user_linear_svr(some, cost=0.5, epsilon=0.25, limit=60, rounds=14))
-    x, y = user_rows(some, 0)
-    a, b = (svr_loss(np.append(m[0][1], m[0][0]), x, y, 0.5, 0.25) for m in (whole, parts))
-    assert b <= a * 1.02
+    for fit in (
+        lambda **k: linear.user_linear_svr(some, cost=0.5, epsilon=0.25, rounds=8, **k),
+        lambda **k: linear.user_linear_svr_tiered(some, tiers=(20, 30), rounds=3, **k),
+    ):
+        whole, parts = as_dict(fit()), as_dict(fit(limit=60))
+        for u, (b, w) in whole.items():
+            assert parts[u][0] == pytest.approx(b, abs=1e-6) and parts[u][1] == pytest.approx(w, abs=1e-6)
+
+
+def test_dependent_features_have_one_solution(spark):
+    rng = np.random.default_rng(8)
+    x = rng.random(60)
+    rows = [(1, i, float(2 * x[i] + 0.01 * rng.normal()), [float(x[i]), float(x[i] + 1e-7 * rng.normal())]) for i in range(60)]
+    rows = spark.createDataFrame(rows, f"{C.USER} long, {C.ITEM} long, {C.RATING} double, features array<double>")
+    (whole,), (parts,) = (as_dict(linear.user_linear(rows, limit=n)).values() for n in (1000, 20))
+    assert whole[1] == pytest.approx([1.0, 1.0], abs=0.05) and parts[1] == pytest.approx(whole[1], abs=1e-5)
 
 
 def test_content_tiles_give_the_same_answer(skewed, training):
