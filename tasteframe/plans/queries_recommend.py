@@ -15,7 +15,7 @@ from tasteframe.operators import surprise
 from tasteframe.plans import jobs
 from tasteframe.plans.queries_basic import GROUP
 from tasteframe.plans.queries_eval import keys
-from tasteframe.plans.queries_features import v1_block, v3_block
+from tasteframe.plans.queries_features import N_ITEMS, v1_block, v3_block
 from tasteframe.plans.queries_models import CLIP, itr_knn_sql, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
 from tasteframe.scratch import fresh_path, materialise
@@ -377,22 +377,25 @@ def _(t):
     return RC.popular_unseen(t.ratings(), named(t), 50).withColumn("score", R("score", 6))
 
 
+# V5 with all entries: absent ones are 0 before scaling.
+relation("v5_dense", f"""
+    SELECT i.movieId, r.feature, CASE WHEN hi > lo THEN (coalesce(value, 0) - lo) / (hi - lo) ELSE 0 END AS value FROM items i
+    JOIN (SELECT feature, CASE WHEN count(*) < {N_ITEMS} THEN least(min(value), 0) ELSE min(value) END AS lo,
+                 CASE WHEN count(*) < {N_ITEMS} THEN greatest(max(value), 0) ELSE max(value) END AS hi FROM v5_raw GROUP BY feature) r ON true
+    LEFT JOIN v5_raw b ON b.movieId = i.movieId AND b.feature = r.feature""")
 relation("wish_centre", """
-    SELECT p, avg(x) AS c FROM (SELECT unnest(range(len(embedding))) AS p, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
-      JOIN (SELECT DISTINCT user_id, event_id % 200 AS wish FROM events WHERE user_id IN (1, 2, 3) AND event_type = 'click') w ON vec_id = wish
-      WHERE vec_id IN (SELECT movieId FROM items)) e GROUP BY p""")
+    SELECT feature, avg(value) AS c FROM v5_dense JOIN (
+      SELECT DISTINCT user_id, event_id % 200 AS wish FROM events WHERE user_id IN (1, 2, 3) AND event_type = 'click') w ON movieId = wish GROUP BY feature""")
 relation("surprise", """
     SELECT v.movieId, v.cos / ln(1 + coalesce(s.n, 1)) AS score FROM (
-      SELECT vec_id AS movieId, sum(x * c) / (sqrt(sum(x * x)) * sqrt(sum(c * c))) AS cos FROM (
-        SELECT vec_id, unnest(range(len(embedding))) AS p, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) e JOIN wish_centre w ON e.p = w.p GROUP BY vec_id) v
-    LEFT JOIN istats s ON s.movieId = v.movieId WHERE v.movieId NOT IN (SELECT mid FROM mentioned)
-      AND v.movieId IN (SELECT movieId FROM items)""")
+      SELECT movieId, sum(value * c) / (sqrt(sum(value * value)) * sqrt(sum(c * c))) AS cos FROM v5_dense d JOIN wish_centre w ON d.feature = w.feature GROUP BY movieId) v
+    LEFT JOIN istats s ON s.movieId = v.movieId WHERE v.movieId NOT IN (SELECT mid FROM mentioned)""")
 
 
 def vectors(t):
-    """Text vectors of catalogue items."""
-    known = t.item_vectors().join(t.items().select(C.ITEM), C.ITEM, "left_semi")
-    return known.withColumnRenamed("embedding", "features")
+    """V5 of all items: V3 with text vectors and metadata numbers, scaled again."""
+    extra = FT.vector_block(t.item_vectors(), t.items(), "embedding", "sbert_")
+    return FT.assemble(FT.extend_with(v3_block(t), t.items(), extra, t.metadata()), t.items())[0]
 
 
 @query("surprise_scores", f"SELECT movieId, {dec('score', 6)} AS group_score FROM surprise")
@@ -413,10 +416,8 @@ def _(t):
 
 @query("surprise_me")
 def _(t):
-    """Ridge models on text vectors and metadata numbers."""
-    block = FT.union_blocks(
-        FT.block_v1(t.items()), FT.vector_block(t.item_vectors(), t.items(), "embedding", "sbert_"), FT.metadata_numbers(t.metadata(), t.items()))
-    x, _names = FT.assemble(block, t.items())
+    """Ridge models on V5."""
+    x = vectors(t)
     models = linear.user_ridge(linear.training_rows(t.train(), x), alpha=25.0)
     return RC.surprise_me(models, x, t.train(), t.items(), GROUP)
 
