@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tasteframe.plans import catalog  # noqa: E402
+from tasteframe.shipping import ship  # noqa: E402
 
 HEADLINE = [
     "featured_items", "item_stats_full", "dataset_summary", "activity_quantiles", "popularity_rank", "long_tail",
@@ -36,6 +37,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
+    ship(spark)
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
     times = {}
     for name in names:
