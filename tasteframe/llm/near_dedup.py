@@ -223,3 +223,23 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     many = rows.filter("_rows_of_id > 1").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in names if c not in ("doc_id", "text")])).alias("_row"))
     many = many.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in names])
     return once.union(many).union(docs.filter("doc_id is null").select(names))
+
+
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+sets AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                      ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS s
+    FROM texts),
+members AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (
+    SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = s.doc_id
+"""

@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op10_near_dedup")
+@query("op10_near_dedup", near_dedup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 0.85)
 
