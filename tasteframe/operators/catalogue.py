@@ -60,9 +60,6 @@ def user_directory(ratings: DataFrame, users: DataFrame) -> DataFrame:
     ).orderBy("user_id")
 
 
-merge_users = user_directory
-
-
 def featured_table(ratings: DataFrame, items: DataFrame, metadata: DataFrame) -> DataFrame:
     """Featured items with metadata, best first, and each item's listed genres."""
     scored = enrich_with_metadata(stats.scored_items(ratings, items), metadata)

@@ -37,9 +37,6 @@ def union_blocks(*blocks: DataFrame) -> DataFrame:
     return out
 
 
-assemble_feature_blocks = union_blocks
-
-
 # --- single blocks -----------------------------------------------------------------------------
 
 def feat_title_length(items: DataFrame) -> DataFrame:

@@ -67,12 +67,6 @@ def browse_items(
     return out
 
 
-def mood_genres(df: DataFrame) -> DataFrame:
-    """The mood dimension (mood, genre): the seven buttons of the browse page."""
-    rows = [(m, g) for m, gs in C.MOODS.items() for g in gs]
-    return df.sparkSession.createDataFrame(rows, "mood string, genre string")
-
-
 def items_by_mood(items: DataFrame) -> DataFrame:
     """How many catalogue items each mood keeps."""
     moods = F.array(*[
