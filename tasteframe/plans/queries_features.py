@@ -91,6 +91,15 @@ def scaled_sql(raw: str) -> str:
         ON b.feature = r.feature"""
 
 
+def dense_sql(raw: str) -> str:
+    """All entries of all items: absent ones are 0 before scaling."""
+    return f"""
+        SELECT i.movieId, r.feature, CASE WHEN hi > lo THEN (coalesce(value, 0) - lo) / (hi - lo) ELSE 0 END AS value FROM items i JOIN (
+          SELECT feature, CASE WHEN count(*) < {N_ITEMS} THEN least(min(value), 0) ELSE min(value) END AS lo,
+                 CASE WHEN count(*) < {N_ITEMS} THEN greatest(max(value), 0) ELSE max(value) END AS hi FROM {raw} GROUP BY feature) r ON true
+        LEFT JOIN {raw} b ON b.movieId = i.movieId AND b.feature = r.feature"""
+
+
 relation("v1", scaled_sql("v1_raw"))
 relation("v2", scaled_sql("v2_raw"))
 relation("v3", scaled_sql("v3_raw"))
@@ -300,20 +309,25 @@ def _(t):
     return rounded(filters.select_features_by_coef(block, coefs))
 
 
-@query("assemble_feature_blocks", BLOCK + "v3 WHERE value <> 0")
+def cells(arrays, names):
+    return rounded(arrays.select(C.ITEM, F.posexplode("features").alias("position", "value")).join(names, "position"))
+
+
+@query("assemble_feature_blocks", BLOCK + "(" + dense_sql("v3_raw") + ") x")
 def _(t):
     """V3 as one array per item, shown entry by entry."""
-    arrays, names = FT.assemble(v3_block(t), t.items())
-    cells = arrays.select(C.ITEM, F.posexplode("features").alias("position", "value")).where(F.col("value") != 0)
-    return rounded(cells.join(names, "position"))
+    return cells(*FT.assemble(v3_block(t), t.items()))
 
 
-@query("feat_V5", BLOCK + "(" + scaled_sql("v5_raw") + ") x WHERE abs(value) > 0")
-def _(t):
-    """V3 with dense text vectors and metadata numbers, scaled again."""
+def v5_arrays(t):
+    """V3 with text vectors and metadata numbers, scaled again: an array per item, and the names of its entries."""
     extra = FT.vector_block(t.item_vectors(), t.items(), "embedding", "sbert_")
-    v5 = FT.extend_with(v3_block(t), t.items(), extra, t.metadata())
-    return rounded(FT.min_max_scale(v5, t.items()).where(F.abs("value") > 0))
+    return FT.assemble(FT.extend_with(v3_block(t), t.items(), extra, t.metadata()), t.items())
+
+
+@query("feat_V5", BLOCK + "(" + dense_sql("v5_raw") + ") x")
+def _(t):
+    return cells(*v5_arrays(t))
 
 
 @query("vector_maths", f"""

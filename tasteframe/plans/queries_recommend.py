@@ -15,7 +15,7 @@ from tasteframe.operators import surprise
 from tasteframe.plans import jobs
 from tasteframe.plans.queries_basic import GROUP
 from tasteframe.plans.queries_eval import keys
-from tasteframe.plans.queries_features import N_ITEMS, v1_block, v3_block
+from tasteframe.plans.queries_features import dense_sql, v1_block, v3_block, v5_arrays
 from tasteframe.plans.queries_models import CLIP, itr_knn_sql, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
 from tasteframe.scratch import fresh_path, materialise
@@ -377,12 +377,7 @@ def _(t):
     return RC.popular_unseen(t.ratings(), named(t), 50).withColumn("score", R("score", 6))
 
 
-# V5 with all entries: absent ones are 0 before scaling.
-relation("v5_dense", f"""
-    SELECT i.movieId, r.feature, CASE WHEN hi > lo THEN (coalesce(value, 0) - lo) / (hi - lo) ELSE 0 END AS value FROM items i
-    JOIN (SELECT feature, CASE WHEN count(*) < {N_ITEMS} THEN least(min(value), 0) ELSE min(value) END AS lo,
-                 CASE WHEN count(*) < {N_ITEMS} THEN greatest(max(value), 0) ELSE max(value) END AS hi FROM v5_raw GROUP BY feature) r ON true
-    LEFT JOIN v5_raw b ON b.movieId = i.movieId AND b.feature = r.feature""")
+relation("v5_dense", dense_sql("v5_raw"))
 relation("wish_centre", """
     SELECT feature, avg(value) AS c FROM v5_dense JOIN (
       SELECT DISTINCT user_id, event_id % 200 AS wish FROM events WHERE user_id IN (1, 2, 3) AND event_type = 'click') w ON movieId = wish GROUP BY feature""")
@@ -393,9 +388,7 @@ relation("surprise", """
 
 
 def vectors(t):
-    """V5 of all items: V3 with text vectors and metadata numbers, scaled again."""
-    extra = FT.vector_block(t.item_vectors(), t.items(), "embedding", "sbert_")
-    return FT.assemble(FT.extend_with(v3_block(t), t.items(), extra, t.metadata()), t.items())[0]
+    return v5_arrays(t)[0]
 
 
 @query("surprise_scores", f"SELECT movieId, {dec('score', 6)} AS group_score FROM surprise")
