@@ -247,7 +247,7 @@ def test_predictive_probabilities_sum_to_one():
     words, contexts = 60, 4
     n = rng.poisson(1.5, (words, contexts)).astype(np.uint64)
     row, context = np.repeat(np.arange(words), contexts), np.tile(np.arange(contexts), words)
-    codes = np.arange(words, dtype=np.int64) + 10
+    codes = np.arange(words, dtype=np.uint64) + np.uint64(10)
     first = language_model._first(codes, row, context, n.ravel())
     totals = language_model.Totals(int(n.sum()), int((n.sum(1) > 0).sum()), first[0], 0.6, 0.5, (first[1],), (float((n.sum(1) > 0).sum()),))
     for _ in range(language_model.SWEEPS):
@@ -255,7 +255,7 @@ def test_predictive_probabilities_sum_to_one():
         totals = language_model.Totals(totals.tokens, totals.types, totals.customers, 0.6, 0.5, (*totals.tables, t[0]), (*totals.root_tables, t[1, 0]))
     p = language_model.predictive(codes, row, context, n.ravel(), totals).reshape(words, contexts)
     seen = n.sum(1) > 0
-    unknown = p[~seen][0] if (~seen).any() else language_model.predictive(np.array([10**6]), np.zeros(contexts, int), np.arange(contexts), np.zeros(contexts), totals)
+    unknown = p[~seen][0] if (~seen).any() else language_model.predictive(np.array([10**6], np.uint64), np.zeros(contexts, int), np.arange(contexts), np.zeros(contexts), totals)
     assert p[seen].sum(0) + unknown == pytest.approx(np.ones(contexts), abs=1e-9)
 
 
