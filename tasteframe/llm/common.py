@@ -37,7 +37,7 @@ class WordCodes(dict):
         return code
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self[w] for w in words), U64, len(words))
+        return np.fromiter(map(self.__getitem__, words), U64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
