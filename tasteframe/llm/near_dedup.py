@@ -218,7 +218,8 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     names = docs.columns
     kept = near_duplicates(docs, threshold, k).filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows_of_id"))
     kept = materialise(kept, "kept")
-    rows = docs.join(kept, "doc_id")
+    # ids grow with the documents: one plan for every size, a merge of both sides by id
+    rows = docs.join(kept.hint("merge"), "doc_id")
     once = rows.filter("_rows_of_id = 1").select(names)
     many = rows.filter("_rows_of_id > 1").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in names if c not in ("doc_id", "text")])).alias("_row"))
     many = many.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in names])
