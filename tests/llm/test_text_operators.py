@@ -193,6 +193,7 @@ def test_quality_learns_rules_and_scores_every_row(messy, spark, texts):
     labels = [(i, 1, 0) for i in texts if i < 75] + [(i, 0, 0) for i in junk] + [(None, 1, 0), (3, None, 1), (5000, 0, 0), (1001, 0, 0)]
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     model = quality.fit(docs, labels)
+    assert quality.fit(docs.repartition(5, "text"), labels.repartition(3)) == model
     assert model.weights and all(0 <= a < len(quality.STATISTICS) for r, _ in model.weights for a, _, _ in r.bounds)
     rows = quality.score(docs, model).collect()
     assert len(rows) == len(texts) + 4 + 60 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
