@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,13 @@ def revisits(pages: DataFrame) -> DataFrame:
     return heads.join(first, "digest").filter("page_id is null or page_id > refers_to").distinct()
 
 
+def repeats(pages: DataFrame) -> DataFrame:
+    """(page_id, digest) of the pages whose record name more than one row gives."""
+    heads = pages.select("page_id", "url", F.sha2("payload", 256).alias("digest"))
+    name = F.sha2(F.concat(F.coalesce("url", F.lit("None")), F.lit("\n"), "digest"), 256).alias("name")  # as in write_archives
+    return heads.groupBy("page_id", "digest", name).count().filter("count > 1").select("page_id", "digest").distinct()
+
+
 def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
     """Write a record per row of ``pages`` (page_id, url, html) as a chunked record table in Parquet at ``path``.
 
@@ -73,17 +81,20 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
 
     Of records with equal payloads of LEAST bytes or more, that with the smallest page_id is the response, others are revisits.
     Rows that repeat page_id and payload of a response are responses too, as is a page without page_id and twin.
-    Records of rows that repeat a page_id are told apart by a hash of url and payload. Other columns are ignored.
+    Records of rows that repeat a page_id are told apart by a hash of url and payload, and those of rows that repeat all three by
+    the task that writes them and a number, behind a dot. Other columns are ignored.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
-    again = revisits(rows).select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "refers_to")
+    marks = revisits(rows).withColumn("repeated", F.lit(False)).unionByName(repeats(rows).withColumn("repeated", F.lit(True)), allowMissingColumns=True)
+    marks = marks.groupBy(F.col("page_id").alias("p"), F.col("digest").alias("d")).agg(F.max("refers_to").alias("refers_to"), F.max("repeated").alias("repeated"))
     same = F.col("page_id").eqNullSafe(F.col("p")) & (F.sha2("payload", 256) == F.col("d"))
-    typed = rows.join(again, same, "left").select("page_id", "url", "refers_to", "payload")
+    typed = rows.join(marks, same, "left").select("page_id", "url", "refers_to", "payload", "repeated")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
         for b in pieces(batches):
             out: list[tuple] = []
             held = 0
@@ -94,6 +105,8 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
                 full = hashlib.sha256(payload).hexdigest()
                 twin = hashlib.sha256(f"{url}\n{full}".encode()).hexdigest()[:16]
                 record = f"{'' if page_id is None else page_id}-{twin}"
+                if b.column(4)[i].as_py():
+                    record, number = f"{record}.{task}.{number}", number + 1
                 header = record_header(record, page_id, url, kind, len(payload), full, refers_to)
                 if kind == "revisit":
                     out.append((record, 0, True, header, None, full))
@@ -125,7 +138,6 @@ def read_archives(archive: DataFrame) -> DataFrame:
     Records of one chunk are read where they lie. Chunks of longer ones are dealt by record, sorted, and streamed through a
     running SHA-256, chunk by chunk. A missing or doubled chunk, a wrong length or digest is an error. For a revisit
     the digest is the header's and the length null, until ``resolve`` takes it from the response.
-    Rows that repeat a record give a row each if it has one chunk, else one row.
     """
     schema = "record string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
     names = ["record", "chunk", "last", "header", "data", "digest"]
@@ -137,8 +149,6 @@ def read_archives(archive: DataFrame) -> DataFrame:
             for record, chunk, last, header, data, digest in zip(*(b.column(b.schema.names.index(c)).to_pylist() for c in names), strict=True):
                 if chunk == 0 and (was == -1):
                     now, fields, size, so_far = record, parse_header(header), 0, hashlib.sha256()
-                elif record == now and chunk == was:
-                    continue  # a repeated row of the page
                 elif record != now or chunk != was + 1:
                     raise ValueError(f"record {record}: chunk {chunk} stands after chunk {was} of {now}")
                 was = chunk
@@ -169,8 +179,8 @@ def read_archives(archive: DataFrame) -> DataFrame:
 
     short = archive.filter("chunk = 0 and last").mapInArrow(run, schema)
     n = int(archive.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    long = archive.filter("not (chunk = 0 and last)").dropDuplicates(["record", "chunk"])
-    long = long.select(names).repartition(n, "record").sortWithinPartitions("record", "chunk").mapInArrow(run, schema)
+    long = archive.filter("not (chunk = 0 and last)").select(names)
+    long = long.repartition(n, "record").sortWithinPartitions("record", "chunk").mapInArrow(run, schema)
     return short.union(long)
 
 
@@ -184,12 +194,15 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, record) of ``pages``, written and read again."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, record) of ``pages``, written and read again, a row per row.
+
+    ``record`` is the name without the numbers that tell repeated rows apart: they differ from run to run.
+    """
     spark = pages.sparkSession
     path = fresh_path(spark, "archives")
     write_archives(pages, path, chunk)
     read = resolve(materialise(read_archives(spark.read.parquet(path)), "records"))
-    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record")
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.substring_index("record", ".", 1).alias("record"))
 
 
 ORACLE = """

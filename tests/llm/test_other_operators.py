@@ -62,6 +62,22 @@ def test_archive_is_a_warc_stream_and_damage_is_seen(pages, spark):
             warc.read_archives(damaged).collect()
 
 
+def test_every_repeated_row_of_many_chunks_comes_back(spark, pages):
+    big = "a long page " * 500
+    rows = [(1, "u", big)] * 3 + [(2, "v", big)] * 2 + [(None, "w", big + "!")] * 2 + [(3, None, big + "?"), (3, "None", big + "?")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.record) for r in warc.round_trip(table, 1000).collect()]
+    con = duckdb.connect()
+    con.register("pages", table.toArrow())
+    assert len(got) == 9 and sorted(map(repr, got)) == sorted(map(repr, con.execute(warc.ORACLE).fetchall()))
+    path = spark.conf.get("spark.checkpoint.dir") + f"/archive-{os.urandom(4).hex()}"
+    warc.write_archives(table, path, 1000)
+    archive = spark.read.parquet(path)
+    assert archive.select("record").distinct().count() == 9
+    with pytest.raises(Exception, match="chunk"):
+        warc.read_archives(archive.union(archive.filter("chunk = 2"))).collect()
+
+
 def test_archives_of_nothing(spark, pages):
     assert warc.round_trip(pages.limit(0)).collect() == []
 
