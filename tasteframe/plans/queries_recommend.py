@@ -185,9 +185,9 @@ def predictions_of(fit):
     return run
 
 
-query("user_elasticnet_tiered")(predictions_of(lambda rows: linear.user_elasticnet_tiered(rows, tiers=(20, 40, 60))))
+query("user_elasticnet_tiered")(predictions_of(linear.user_elasticnet_tiered))
 query("user_linear_svr")(predictions_of(linear.user_linear_svr))
-query("user_linear_svr_tiered")(predictions_of(lambda rows: linear.user_linear_svr_tiered(rows, tiers=(42, 48))))
+query("user_linear_svr_tiered")(predictions_of(linear.user_linear_svr_tiered))
 
 
 @query("ratings_with_features", f"SELECT userId, movieId, rating, {dec('xa', 6)} AS xa, {dec('xb', 6)} AS xb FROM train LEFT JOIN x2 ON movieId = mid")
@@ -203,7 +203,7 @@ def _(t):
 
 @query("latent_factor")
 def _(t):
-    return latent.latent_factor(t.train(), rank=10, max_iter=5).predict(keys(t))
+    return latent.latent_factor(t.train()).predict(keys(t))
 
 
 @query("hybrid_with_latent_factor")
@@ -212,7 +212,7 @@ def _(t):
 
     train = t.train()
     return hybrid_blend(train, keys(t), {
-        "svd": latent.latent_factor(train, rank=10, max_iter=5).predict(keys(t)),
+        "svd": latent.latent_factor(train).predict(keys(t)),
         "content": linear.content_predict(linear.user_ridge(linear.training_rows(train, v1_arrays(t))), keys(t), v1_arrays(t), train),
         "itr": N.user_knn_itr(train, keys(t), **C.ITR_PARAMS),
     })
@@ -220,12 +220,12 @@ def _(t):
 
 @query("tune_latent_factor")
 def _(t):
-    return latent.tune_latent_factor(t.ratings(), trials=2)
+    return latent.tune_latent_factor(t.ratings())
 
 
 @query("pooled_random_forest")
 def _(t):
-    return trees.pooled_random_forest(t.train(), keys(t), v1_arrays(t), select_k=20, trees=20)
+    return trees.pooled_random_forest(t.train(), keys(t), v1_arrays(t), select_k=20)
 
 
 @query("select_k_best", f"""
@@ -241,18 +241,18 @@ def _(t):
 
 @query("stacked_meta_model")
 def _(t):
-    return trees.stacked_meta_model(t.train(), keys(t), v1_arrays(t), trees=10)
+    return trees.stacked_meta_model(t.train(), keys(t), v1_arrays(t))
 
 
 @query("cluster_tag_themes")
 def _(t):
-    return topics.cluster_tag_themes(t.tag_vectors(), k=16)
+    return topics.cluster_tag_themes(t.tag_vectors())
 
 
 @query("feat_V4")
 def _(t):
     """V3 with topics of the texts and metadata numbers, scaled again."""
-    found = topics.lda_topics(t.metadata(), t.items(), topics=10, passes=3)
+    found = topics.lda_topics(t.metadata(), t.items())
     extra = FT.vector_block(found, t.items(), "topics", "lda_topic_")
     return FT.min_max_scale(FT.extend_with(v3_block(t), t.items(), extra, t.metadata()), t.items())
 
@@ -432,7 +432,7 @@ def _(t):
 
 @query("full_top_n")
 def _(t):
-    return jobs.full_top_n(t.train(), rank=10, max_iter=3)
+    return jobs.full_top_n(t.train())
 
 
 # --- jobs ------------------------------------------------------------------------------------------------
@@ -452,7 +452,7 @@ def _(t):
 
 @query("train_all")
 def _(t):
-    paths = jobs.train_all(t.train(), v1_arrays(t), fresh_path(t.spark, "models"), latent={"rank": 8, "max_iter": 3}, k=20)
+    paths = jobs.train_all(t.train(), v1_arrays(t), fresh_path(t.spark, "models"))
     out = None
     for name, path in paths.items():
         row = t.spark.read.parquet(path).agg(F.count("*").alias("n_rows")).withColumn("model", F.lit(name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 
 import numpy as np
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe import scratch
-from tasteframe.operators import baselines, catalogue, latent, ranking, recommend, stats, surprise
+from tasteframe.operators import baselines, catalogue, latent, ranking, recommend, stats, surprise, topics, trees
+from tasteframe.plans import jobs, queries_recommend
 from tasteframe.sources import sinks, tables
 
 
@@ -112,3 +114,49 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_dir(Session)
+
+
+# queries do the operators' whole job
+
+
+class Called(Exception):
+    pass
+
+
+@pytest.mark.parametrize(("name", "module", "operator"), [
+    ("latent_factor", latent, "latent_factor"), ("hybrid_with_latent_factor", latent, "latent_factor"), ("tune_latent_factor", latent, "tune_latent_factor"),
+    ("pooled_random_forest", trees, "pooled_random_forest"), ("stacked_meta_model", trees, "stacked_meta_model"), ("cluster_tag_themes", topics, "cluster_tag_themes"),
+    ("feat_V4", topics, "lda_topics"), ("full_top_n", jobs, "full_top_n"), ("train_all", jobs, "train_all"),
+])
+def test_learned_models_are_registered_with_their_defaults(spark, monkeypatch, name, module, operator):
+    def called(*args, **given):
+        raise Called(given)
+
+    monkeypatch.setattr(module, operator, called)
+    with pytest.raises(Called) as e:
+        queries_recommend.query.__globals__["QUERIES"][name](spark, "/root/testdata/sf0.001")
+    assert not {"rank", "max_iter", "trials", "trees", "k", "topics", "passes", "latent"} & set(e.value.args[0])
+
+
+def test_tiers_are_registered_with_their_defaults(monkeypatch):
+    fits = []
+    monkeypatch.setattr(queries_recommend.linear, "training_rows", lambda *_: None)
+    monkeypatch.setattr(queries_recommend.linear, "content_predict", lambda models, *_: models)
+    monkeypatch.setattr(queries_recommend, "v1_arrays", lambda t: None)
+    monkeypatch.setattr(queries_recommend, "keys", lambda t: None)
+
+    def seen(frame, event, arg):
+        if event == "call" and frame.f_code.co_name in ("user_elasticnet_tiered", "user_linear_svr_tiered"):
+            fits.append(frame.f_locals["tiers"])
+
+    for name in ("user_elasticnet_tiered", "user_linear_svr_tiered"):
+        run = queries_recommend.query.__globals__["QUERIES"][name]
+        monkeypatch.setattr(queries_recommend.query.__globals__["Tables"], "train", lambda self: None)
+        sys.setprofile(seen)
+        try:
+            run(None, "/nowhere")
+        except Exception:  # noqa: BLE001, S110 - there are no rows to fit
+            pass
+        finally:
+            sys.setprofile(None)
+    assert fits == [(200, 700, 1300), (200, 700)]
