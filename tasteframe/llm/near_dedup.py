@@ -195,14 +195,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, k: int = 5, miss:
         .withColumn("key", F.xxhash64("bucket", "lo", "hi")).drop("bucket")
     )
     links = by_group(rowed, "key", _block_links(threshold, m), "a long, b long")
-    roots = components(links, "a", "b")
+    # an id with several texts links their classes, and its empty rows follow it
+    print_of = F.xxhash64("digest")
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min(print_of).alias("least"), F.max(print_of).alias("most"))
+    several = materialise(several.filter("least <> most").select("doc_id"), "several")
+    texts_of = rows.filter("digest is not null").join(several, "doc_id").select("doc_id", "digest").distinct()
+    own_links = texts_of.join(classes.select("digest", "rep"), "digest").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    roots = components(links.union(own_links), "a", "b")
     found = (
         classes.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left")
         .select("digest", F.coalesce("root", "rep").alias("root"))
     )
+    of_id = several.join(roots, F.col("doc_id") == F.col("node")).select("doc_id", "root")
+    rooted = rows.filter("digest is not null").join(found, "digest", "left").select("doc_id", "n", "root")
+    rooted = rooted.union(rows.filter("digest is null").join(of_id, "doc_id", "left").select("doc_id", "n", "root"))
     return (
-        rows.join(found, "digest", "left")
-        .select(
+        rooted.select(
             "doc_id", F.col("n").alias("n_shingles"),
             F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"),
         )

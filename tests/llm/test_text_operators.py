@@ -89,6 +89,16 @@ def test_keep_one_keeps_columns_and_clean_documents(messy, texts):
     assert ids.count(None) == 2
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(3, b), (5, a), (5, b), (5, ""), (5, None), (7, a), (8, d), (9, c), (9, d), (10, c + " more"), (11, ""), (12, "one of its own"), (12, "and another")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    root = {3: 3, 5: 3, 7: 3, 8: 8, 9: 8, 10: 8, 11: 11, 12: 12}
+    got = near_dedup.near_duplicates(docs).collect()
+    assert len(got) == len(rows) and all((r.component_id, r.kept) == (root[r.doc_id], root[r.doc_id] == r.doc_id) for r in got)
+    assert sorted(r.doc_id for r in near_dedup.keep_one(docs).collect()) == [3, 8, 11, 12]
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert near_dedup.near_duplicates(no_docs).collect() == []
     assert near_dedup.keep_one(no_docs).collect() == []
