@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, mixing, near_dedup, neighbours, quality, warc
+from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, merkle, mixing, near_dedup, neighbours, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_chat_format", chat.ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_merkle", merkle.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
