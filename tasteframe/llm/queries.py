@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, merkle, mixing, near_dedup, neighbours, quality, warc
+from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, merkle, mixing, near_dedup, neighbours, quality, spelling, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_merkle", merkle.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling", spelling.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
