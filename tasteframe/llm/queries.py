@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, merkle, mixing, near_dedup, neighbours, quality, spelling, warc
+from tasteframe.llm import chat, decontaminate, html_text, language_model, licenses, merkle, mixing, near_dedup, neighbours, quality, spelling, token_file, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +85,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_spelling", spelling.ORACLE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_file")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query needs it
+
+    return token_file.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, by_word=True)
