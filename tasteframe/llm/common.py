@@ -70,6 +70,25 @@ def pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20, most_ro
             yield batch.slice(at, rows)
 
 
+def fresh_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores in front as no column has; Spark compares names without case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def smallest_hashes(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The n rows with the smallest hash of the first key, in that order (ties by the other keys).
+
+    A first cut by a hash that about n rows lie below, and some to be safe, leaves a bounded number of rows to sort, so that
+    tasks do not send n rows each to a single one. Equal keys share a hash: give the rows distinct keys. Eager: counts.
+    """
+    h = F.xxhash64(keys[0])
+    share = min(1.0, (n + 8 * n**0.5 + 50) / max(1, df.count()))
+    return df.filter(h <= min(2**63 - 1, int(2**64 * share) - 2**63)).orderBy(h, *keys).limit(n)
+
+
 def by_group(
     df: DataFrame, key: str, fn: Callable[[dict[str, np.ndarray]], pd.DataFrame | None], schema: str, flush: int = 20_000
 ) -> DataFrame:

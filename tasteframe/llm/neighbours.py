@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tasteframe.llm.common import by_group
+from tasteframe.llm.common import by_group, smallest_hashes
 from tasteframe.scratch import materialise
 
 #: Code length, bits of an indexed substring, and the bounded sample that rotations and radius are learned from.
@@ -52,7 +53,7 @@ def learn(vectors: DataFrame, k: int) -> Codes | None:
     The radius is the smallest that reaches AIM of the k nearest of PROBES vectors among the sample. Neighbours in the
     whole table are nearer than in a sample, so the recall there is higher. Eager; the sample goes to the driver.
     """
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec").toPandas()
+    rows = smallest_hashes(vectors, SAMPLE, "vec_id", "vec").select("vec").toPandas()
     if not len(rows):
         return None
     x = np.stack(rows["vec"].to_numpy()).astype(np.float64)
@@ -88,6 +89,7 @@ def _search(codes: Codes, k: int):
         ids, own = g["vec_id"][~asks], codes.of(x[~asks])
         queries, probes = g["vec_id"][asks], codes.of(x[asks])
         cand, ask = x[~asks], x[asks]
+        repeated = len(np.unique(ids)) < len(ids)
         # one index per substring: candidates sorted by their value, and where each value begins
         order = [np.argsort(own[:, s], kind="stable") for s in range(n_sub)]
         begins = [np.searchsorted(own[o, s], np.arange((1 << SUBSTRING) + 1)) for s, o in enumerate(order)]
@@ -106,10 +108,13 @@ def _search(codes: Codes, k: int):
             if not len(rows):
                 continue
             score = (cand[rows] * ask[q]).sum(1)
-            if len(rows) > k:
+            if len(rows) > k and not repeated:
                 least = np.partition(score, len(rows) - k)[len(rows) - k]
                 rows, score = rows[score >= least], score[score >= least]
-            best = np.lexsort((ids[rows], -score))[:k]
+            best = np.lexsort((ids[rows], -score))
+            if repeated:  # an id counts with its best vector
+                best = best[np.sort(np.unique(ids[rows[best]], return_index=True)[1])]
+            best = best[:k]
             out.append(pd.DataFrame({"query_id": queries[q], "vec_id": ids[rows[best]], "score": score[best]}))
         return pd.concat(out) if out else None
 
@@ -120,14 +125,19 @@ def _blocks(vectors: DataFrame, queries: DataFrame, codes: Codes, k: int, n: int
     """The k best of every query and block of candidates, then of every query."""
     c, q = max(1, -(-n // CANDIDATES)), max(1, -(-n_queries // QUERIES))
     all_c, all_q = F.explode(F.sequence(F.lit(0), F.lit(c - 1))), F.explode(F.sequence(F.lit(0), F.lit(q - 1)))
-    here = F.pmod(F.xxhash64("vec_id"), F.lit(c)).cast("int")
-    there = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(q)).cast("int")
+    here = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(c)).cast("int")
+    there = F.pmod(F.xxhash64("vec_id", "vec", F.lit(1)), F.lit(q)).cast("int")
     left = vectors.select("vec_id", "vec", F.lit(False).alias("ask"), here.alias("cb"), all_q.alias("qb"))
     right = queries.select("vec_id", "vec", F.lit(True).alias("ask"), all_c.alias("cb"), there.alias("qb"))
     rows = left.union(right).withColumn("key", F.xxhash64("cb", "qb")).drop("cb", "qb")
-    near = by_group(rows, "key", _search(codes, k), "query_id long, vec_id long, score double")
+    return _ranked(by_group(rows, "key", _search(codes, k), "query_id long, vec_id long, score double"), k)
+
+
+def _ranked(near: DataFrame, k: int) -> DataFrame:
+    """The k best of every query; an id that several vectors share counts with its best score."""
+    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, vec: str = "embedding") -> DataFrame:
@@ -135,8 +145,9 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, v
 
     ``vectors`` has vec_id and an array of numbers; ``queries`` some of its rows (default: ids divisible by 20). Candidates
     are all rows but those with the query's id. Null, empty, zero vectors and those with null or non-finite numbers take no
-    part, nor do rows without vec_id or with fewer or more numbers than most. Of rows that repeat a vec_id the vector that
-    sorts first stands. Equal scores: the smaller vec_id first. Scores are inner products of the given vectors in double precision.
+    part, nor do rows without vec_id. Vectors of several lengths are searched length by length, as a product needs two of one length.
+    Of rows that share a vec_id each different vector asks and is found; the id stands once, with its best score. Equal scores: the
+    smaller vec_id first. Scores are inner products of the given vectors in double precision.
 
     Every vector is indexed. Candidates and queries meet in a grid of blocks of bounded size; in a block each substring
     of the codes has its own index, and probing all values within radius // substrings bits finds every code within the
@@ -145,24 +156,25 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, v
     names = {"vec_id", vec}
     rows = vectors.select(*[c for c in vectors.columns if c in names]).filter(usable(vectors, vec) & F.col("vec_id").isNotNull())
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vec).cast("array<double>").alias("vec"))
-    rows = rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    sizes = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if sizes is None:
-        return empty
-    rows = materialise(rows.filter(F.size("vec") == sizes["d"]), "vectors")
-    n = rows.count()
-    if queries is None:
-        asks = rows.filter("vec_id % 20 = 0")
-    else:
+    rows = materialise(rows.distinct().withColumn("d", F.size("vec")), "vectors")
+    asks = rows.filter("vec_id % 20 = 0")
+    if queries is not None:
         asks = rows.join(queries.select(F.col("vec_id").cast("long").alias("vec_id")).distinct(), "vec_id", "left_semi")
-    n_queries = asks.count()
-    if not n_queries:
-        return empty
+    lengths = [r.d for r in asks.select("d").distinct().collect()]
+    found = [_of_length(rows.filter(F.col("d") == d).drop("d"), asks.filter(F.col("d") == d).drop("d"), k) for d in sorted(lengths)]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    if len(found) == 1:
+        return found[0]
+    return _ranked(reduce(DataFrame.union, found).drop("rank"), k)
+
+
+def _of_length(rows: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """As ``nearest``, of distinct (vec_id, vec) whose vectors have one length."""
+    n, ids, n_queries = rows.count(), rows.select("vec_id").distinct().count(), asks.count()
     codes = learn(rows, k)
     first = materialise(_blocks(rows, asks, codes, k, n, n_queries), "nearest")
-    full = first.groupBy("query_id").count().filter(F.col("count") >= min(k, n - 1))
+    full = first.groupBy("query_id").count().filter(F.col("count") >= min(k, ids - 1))
     poor = materialise(asks.join(full, F.col("vec_id") == F.col("query_id"), "left_anti"), "asked-again")
     n_poor = poor.count()
     if not n_poor:

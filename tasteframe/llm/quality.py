@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tasteframe.llm.common import pieces
+from tasteframe.llm.common import pieces, smallest_hashes
 from tasteframe.scratch import materialise
 
 #: Statistics of one text, in the order in which ``text_statistics`` gives them.
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel:
     """Learn from rows of ``docs`` with a label: forest paths become rules, a lasso logistic regression weighs them.
 
     ``labels``: doc_id, quality (0/1; nulls are left out, repeated labels of one document are averaged and rounded).
-    Held-out documents (crc32 of the doc_id as text, modulo 5, is 0) are never used. Learns from at most ``sample`` rows.
+    Held-out documents (crc32 of the doc_id as text, modulo 5, is 0) are never used. Learns from at most ``sample`` rows with different (doc_id, text).
     Without labelled rows the score is 1/2, with one class only it is the class's smoothed rate. Eager.
     """
     spark = docs.sparkSession
@@ -134,9 +134,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel:
         .dropna().filter(~held_out("doc_id")).groupBy("doc_id").agg(F.round(F.avg("y")).alias("y"))
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = rows.select("doc_id").distinct().join(rated, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = materialise(chosen, "chosen")
-    train = with_statistics(rows.join(chosen, "doc_id"), "stats").select("doc_id", "y", "stats")
+    chosen = materialise(rows.select("doc_id").distinct().join(rated, "doc_id"), "rated")
+    chosen = materialise(smallest_hashes(chosen, sample, "doc_id"), "chosen")
+    # an id can have many rows: equal texts count once, and of different ones those with the smallest hash
+    rows = rows.join(chosen, "doc_id").withColumn("of_text", F.xxhash64("text"))
+    picked = materialise(rows.select("doc_id", "of_text").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(sample), "picked")
+    rows = rows.join(picked, ["doc_id", "of_text"]).groupBy("doc_id", "of_text").agg(F.first("y").alias("y"), F.first("text").alias("text"))
+    train = with_statistics(rows, "stats").select("doc_id", "y", "stats")
     # the sample is small: one sorted partition makes the draws of the forest, and so the model, the same in every run
     train = materialise(train, "training").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "y", "stats")
     n, good = train.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
