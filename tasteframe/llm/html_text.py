@@ -17,8 +17,12 @@ from tasteframe.llm.common import pieces
 
 #: Elements by their role in HTML.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rt rp s samp small span strike strong sub sup "
-                   "time tt u var wbr input label picture source".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select head button canvas audio video xmp noembed noframes".split())
+                   "time tt u var wbr input label picture source canvas audio video object iframe xmp noembed noframes "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover "
+                   "mmultiscripts mprescripts mtable mtr mtd maction semantics annotation".split())
+#: Elements without reading text, up to their end tag; form controls, up to their end tag or the block that ends them.
+RAW = frozenset("script style noscript template textarea title svg head".split())
+CONTROLS = frozenset("button select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Opening one of these closes an open element of the given names.
 CLOSES = {
@@ -42,6 +46,8 @@ HINTS = {
     "form": "form login signin signup search register contact",
     "content": "article content post entry main story body text prose page paragraph",
 }
+_BLOCK = "|".join(sorted(NO_P | set(CLOSES) - {"option"} | {"body", "html"}, key=len, reverse=True))
+_END = {t: re.compile(rf"</{t}\b[^>]*+>?", re.I) for t in RAW} | {t: re.compile(rf"(</{t}\b[^>]*+>?)|<{t}\b|</?(?:{_BLOCK})\b", re.I) for t in CONTROLS}
 _HINT_OF = {w: k for k, words in HINTS.items() for w in words.split()}
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>?")
@@ -64,8 +70,9 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     """(nodes in page order, text blocks in page order as (node, text)).
 
     Nodes are block elements; inline ones belong to the block they stand in. A block's text ends where another block begins
-    or ends. Scripts, styles, heads, comments and other elements without reading text are left out, missing end tags are filled
-    in, unmatched ones ignored. Character references are decoded, white space in a block becomes one space.
+    or ends. Scripts, styles, heads, comments, form controls and other elements without reading text are left out, missing end tags are
+    filled in, unmatched ones ignored. A control that is not closed ends where a block or the next control begins. The time is
+    proportional to the page, however it is built. Character references are decoded, white space in a block becomes one space.
     """
     source = page or ""
     nodes = [Node(-1, "#root", frozenset())]
@@ -73,6 +80,7 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
     stack = [0]
     open_tags: Counter[str] = Counter()
     run: list[str] = []
+    endless: set[str] = set()
     in_link = 0
 
     def flush() -> None:
@@ -134,16 +142,18 @@ def parse(page: str | None) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         at = m.end()
         closing, tag, rest = m[1], m[2].lower(), m[3]
-        if tag in RAW and not closing:
+        if tag in _END and not closing:
             if not rest.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+                end = None if tag in endless else _END[tag].search(source, at)
                 if end:
-                    at = end.end()
-                elif tag in ("script", "style", "textarea", "title"):
-                    at = size
+                    at = end.end() if tag in RAW or end[1] else end.start()
+                else:
+                    endless.add(tag)  # nor will a later one find an end
+                    if tag in CONTROLS or tag in ("script", "style", "textarea", "title"):
+                        at = size
             run.append(" ")
             continue
-        if tag in INLINE or tag in RAW:
+        if tag in INLINE or tag in _END:
             if tag == "a":
                 in_link = 0 if closing else 1
             elif tag in ("br", "img", "input", "wbr"):
@@ -303,7 +313,7 @@ def labelled_page(page: str | None) -> tuple[list[Node], list[int]] | None:
 def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
     """Count features and parent-child states of labelled pages: the layouts, and at most ``sample`` pages that mark their article.
 
-    The pages are those with the smallest hash of page_id and html; counts of their features are summed in Spark. Eager.
+    The pages are those with the smallest hash of page_id and html, equal ones once; counts of their features are summed in Spark. Eager.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +327,9 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen]), pa.array([y for _, y in seen], pa.int32()), pa.array(seen.values(), pa.int64())], ["name", "label", "n"])
 
     few = pages.select(F.col("html").cast("string").alias("html"), F.xxhash64("page_id", "html").alias("h")).filter("html is not null")
-    few = few.orderBy("h").limit(sample).select("html")
+    # hashes first: whole pages of a few hundred are read again, and not sent to one task
+    last = few.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    few = few.filter(F.lit(False) if last is None else F.col("h") <= last).groupBy("h").agg(F.first("html").alias("html")).select("html")
     total: Counter[tuple[str, int]] = Counter()
     for r in few.mapInArrow(run, "name string, label int, n long").groupBy("name", "label").agg(F.sum("n").alias("n")).collect():
         total[r.name, r.label] += r.n
