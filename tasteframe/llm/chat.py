@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,18 +27,51 @@ EVENTS = (
 )
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value) -> str:
-    """JSON with sorted keys, without spaces, characters unescaped where JSON allows it."""
-    return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    """JSON with sorted keys, without spaces, characters unescaped where JSON allows it; half a surrogate pair becomes U+FFFD."""
+    return _LONE.sub("\ufffd", json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False))
 
 
-def faults(value, schema: dict, at: str = "$") -> list[str]:
-    """What a value breaks of a schema: type, enum, required, properties, additionalProperties, items, bounds of numbers and lengths."""
-    kind = schema.get("type")
+def _number(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError("a number beyond all bounds")
+    return value
+
+
+def parsed(text: str):
+    """The value of a JSON text. Texts that have no canonical JSON are no JSON here: NaN and Infinity, numbers beyond double
+    precision's range, integers or nesting beyond Python's limits. Raises ValueError."""
+    try:
+        value = json.loads(text, parse_float=_number, parse_constant=_number)
+        deeper = value
+        for _ in range(50):  # it will be written as a part of a message
+            deeper = [deeper]
+        canonical(deeper)
+    except RecursionError:
+        raise ValueError("nested too deeply") from None
+    return value
+
+
+def _is(value, kind: str) -> bool:
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
-    fits = number if kind == "number" else number and float(value).is_integer() if kind == "integer" else isinstance(value, _TYPES[kind]) if kind else True
-    if not fits:
-        return [f"{at}: not {kind}"]
+    if kind == "number":
+        return number
+    if kind == "integer":
+        return number and (isinstance(value, int) or value.is_integer())
+    return kind in _TYPES and isinstance(value, _TYPES[kind])
+
+
+def faults(value, schema: dict, at: str = "$") -> list[str]:
+    """What a value breaks of a schema: type (one or a list), enum, required, properties, additionalProperties, items, bounds of numbers and lengths."""
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    number = _is(value, "number")
+    if kinds and not any(_is(value, k) for k in kinds):
+        return [f"{at}: not {' or '.join(kinds)}"]
     out = [f"{at}: not in enum"] if "enum" in schema and value not in schema["enum"] else []
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -62,14 +97,14 @@ def _object(text: str | None, key: str) -> dict | None:
     if not text or key not in text or not text.lstrip().startswith("{"):
         return None
     try:
-        found = json.loads(text)
+        found = parsed(text)
     except ValueError:
         return None
     return found if isinstance(found, dict) and key in found else None
 
 
 def _text(x) -> str | None:
-    return x if x is None or isinstance(x, str) else canonical(x)
+    return x if x is None else _LONE.sub("\ufffd", x) if isinstance(x, str) else canonical(x)
 
 
 def _parts(conv_id, turn, role, text) -> list[tuple]:
@@ -94,7 +129,7 @@ def events(conversations: DataFrame) -> DataFrame:
     """One row per call, result or message (columns of EVENTS) of turns (conv_id, turn, role, text).
 
     A call stands in an assistant turn {"tool_calls": [{"id", "function": {"name", "arguments"}, "after": [ids]}], "content"}, a result in a tool
-    turn {"tool_call_id", "content"}; every other text, null too, is a message.
+    turn {"tool_call_id", "content"}; every other text, null too and JSON that ``parsed`` refuses, is a message.
     """
     kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.string()] * 5, pa.list_(pa.string()), pa.string()]
     names = [c.split()[0] for c in EVENTS.split(", ")]
@@ -211,7 +246,7 @@ def serialise(linked: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         wrong: list[str] = []
         if kind == "call":
             try:
-                value = json.loads(arguments if arguments is not None else "{}")
+                value = parsed(arguments if arguments is not None else "{}")
             except ValueError:
                 value, wrong = arguments, ["$: not JSON"]
             else:
@@ -221,7 +256,7 @@ def serialise(linked: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             out = {"role": "tool", "tool_call_id": call_id, "content": content}
         else:
             out = {"role": role, "content": content}
-        return conv_id, level, turn, idx, kind, call_id, status, not wrong if kind == "call" else None, wrong[0] if wrong else None, canonical(out)
+        return conv_id, level, turn, idx, kind, call_id, status, not wrong if kind == "call" else None, _text(wrong[0]) if wrong else None, canonical(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
