@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasteframe.llm.common import pieces
@@ -21,10 +21,11 @@ CRLF = b"\r\n"
 SCHEMA = "record string, chunk int, last boolean, header binary, data binary, digest string"
 
 
-def record_header(record: str, page_id: int | None, url: str | None, kind: str, length: int, digest: str, refers_to: int | None) -> bytes:
+def record_header(record: str, page_id: int | None, url: str | None, kind: str, length: int, digest: str, refers_to: str | None) -> bytes:
     """The WARC/1.1 header block of a record, with the empty line that ends it.
 
-    The block of a response is the bare payload (Content-Type text/html); a revisit has an empty block and names the digest.
+    The block of a response is the bare payload (Content-Type text/html); a revisit has an empty block and names the digest and
+    the record that has the payload.
     """
     fields = [
         ("WARC-Type", kind),
@@ -82,7 +83,8 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
     Of records with equal payloads of LEAST bytes or more, that with the smallest page_id is the response, others are revisits.
     Rows that repeat page_id and payload of a response are responses too, as is a page without page_id and twin.
     Records of rows that repeat a page_id are told apart by a hash of url and payload, and those of rows that repeat all three by
-    the task that writes them and a number, behind a dot. Other columns are ignored.
+    the task that writes them and a number, behind a dot. Responses are written first; a revisit then refers to the record of
+    its payload that sorts first among those written for the page. Other columns are ignored. Eager: two writes.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -90,8 +92,12 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
     )
     marks = revisits(rows).withColumn("repeated", F.lit(False)).unionByName(repeats(rows).withColumn("repeated", F.lit(True)), allowMissingColumns=True)
     marks = marks.groupBy(F.col("page_id").alias("p"), F.col("digest").alias("d")).agg(F.max("refers_to").alias("refers_to"), F.max("repeated").alias("repeated"))
+    marks = materialise(marks, "marks")
     same = F.col("page_id").eqNullSafe(F.col("p")) & (F.sha2("payload", 256) == F.col("d"))
-    typed = rows.join(marks, same, "left").select("page_id", "url", "refers_to", "payload", "repeated")
+    responses = rows.join(marks, same, "left").filter("refers_to is null").select("page_id", "url", "payload", "repeated")
+
+    def named(page_id: int | None, url: str | None, digest: str, number: str) -> str:
+        return f"{'' if page_id is None else page_id}-{hashlib.sha256(f'{url}{chr(10)}{digest}'.encode()).hexdigest()[:16]}{number}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
@@ -99,18 +105,13 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
             out: list[tuple] = []
             held = 0
             for i in range(b.num_rows):
-                page_id, url, refers_to = (b.column(c)[i].as_py() for c in range(3))
-                payload = memoryview(b.column(3)[i].as_buffer())
-                kind = "response" if refers_to is None else "revisit"
+                page_id, url = (b.column(c)[i].as_py() for c in range(2))
+                payload = memoryview(b.column(2)[i].as_buffer())
                 full = hashlib.sha256(payload).hexdigest()
-                twin = hashlib.sha256(f"{url}\n{full}".encode()).hexdigest()[:16]
-                record = f"{'' if page_id is None else page_id}-{twin}"
-                if b.column(4)[i].as_py():
-                    record, number = f"{record}.{task}.{number}", number + 1
-                header = record_header(record, page_id, url, kind, len(payload), full, refers_to)
-                if kind == "revisit":
-                    out.append((record, 0, True, header, None, full))
-                    continue
+                own = b.column(3)[i].as_py()
+                record = named(page_id, url, full, f".{task}.{number}" if own else "")
+                number += bool(own)
+                header = record_header(record, page_id, url, "response", len(payload), full, None)
                 so_far = hashlib.sha256()
                 for n, at in enumerate(range(0, max(1, len(payload)), chunk)):
                     data = payload[at : at + chunk]
@@ -123,7 +124,32 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
             if out:
                 yield _batch(out)
 
-    typed.mapInArrow(run, SCHEMA).write.parquet(path)
+    responses.mapInArrow(run, SCHEMA).write.parquet(path)
+
+    def refer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get().partitionId(), 0
+        for b in batches:
+            out = []
+            for page_id, url, digest, own, refers_to in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                record = named(page_id, url, digest, f".{task}r.{number}" if own else "")
+                number += bool(own)
+                out.append((record, 0, True, record_header(record, page_id, url, "revisit", 0, digest, refers_to), None, digest))
+            if out:
+                yield _batch(out)
+
+    written = pages.sparkSession.read.schema(SCHEMA).parquet(path).filter("last").select(_page_of("record").alias("of"), F.col("digest").alias("of_digest"), "record")
+    asked = marks.select(F.col("refers_to").alias("r"), F.col("d").alias("rd")).filter("r is not null").distinct()
+    written = written.join(asked, (F.col("of") == F.col("r")) & (F.col("of_digest") == F.col("rd")), "semi")
+    first = written.groupBy("of", "of_digest").agg(F.min("record").alias("name"))
+    again = rows.select("page_id", "url", F.sha2("payload", 256).alias("digest"))
+    again = again.join(marks.filter("refers_to is not null"), F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
+    again = again.join(first, (F.col("refers_to") == F.col("of")) & (F.col("digest") == F.col("of_digest")))
+    again.select("page_id", "url", "digest", "repeated", "name").mapInArrow(refer, SCHEMA).write.mode("append").parquet(path)
+
+
+def _page_of(record: str) -> Column:
+    """The page_id in a record's name; null if it has none."""
+    return F.nullif(F.regexp_extract(record, "^(-?[0-9]*)-", 1), F.lit("")).cast("long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -137,9 +163,9 @@ def read_archives(archive: DataFrame) -> DataFrame:
 
     Records of one chunk are read where they lie. Chunks of longer ones are dealt by record, sorted, and streamed through a
     running SHA-256, chunk by chunk. A missing or doubled chunk, a wrong length or digest is an error. For a revisit
-    the digest is the header's and the length null, until ``resolve`` takes it from the response.
+    ``refers_to`` is the name of another record, the digest is the header's and the length null, until ``resolve`` follows it.
     """
-    schema = "record string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
+    schema = "record string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to string"
     names = ["record", "chunk", "last", "header", "data", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,12 +189,12 @@ def read_archives(archive: DataFrame) -> DataFrame:
                         raise ValueError(f"record {record}: length or digest differ from the header")
                     page_id = int(fields["x-page-id"]) if fields["x-page-id"] else None
                     if kind == "revisit":
-                        out.append((record, page_id, "revisit", None, named, int(fields["warc-refers-to"][len("<urn:page:") : -1])))
+                        out.append((record, page_id, "revisit", None, named, fields["warc-refers-to"][len("<urn:page:") : -1]))
                     else:
                         out.append((record, page_id, "response", size, named, None))
                     was = -1
             if out:
-                kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+                kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
                     ["record", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"],
@@ -185,12 +211,14 @@ def read_archives(archive: DataFrame) -> DataFrame:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """``records`` of ``read_archives``, revisits with the length of the response that they refer to."""
-    full = records.filter("record_type = 'response'").select(F.col("page_id").alias("p"), F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("of_response")).distinct()
-    again = records.filter("record_type = 'revisit'")
-    again = again.join(full, (F.col("refers_to") == F.col("p")) & (F.col("payload_digest") == F.col("d")), "left")
-    again = again.withColumn("payload_bytes", F.coalesce("payload_bytes", "of_response")).select(records.columns)
-    return records.filter("record_type = 'response'").union(again)
+    """``records`` of ``read_archives``, revisits with the page and the length of the record that they refer to; one that is
+    not there, or has another digest, is an error."""
+    responses, again = records.filter("record_type = 'response'"), records.filter("record_type = 'revisit'")
+    full = responses.select(F.col("record").alias("name"), F.col("page_id").alias("of_page"), F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("of_response"))
+    again = again.join(full, F.col("refers_to") == F.col("name"), "left")
+    whole = F.when(F.col("d") == F.col("payload_digest"), F.col("of_response")).otherwise(F.raise_error(F.concat(F.lit("no payload for record "), "record")).cast("long"))
+    again = again.select("record", "page_id", "record_type", whole.alias("payload_bytes"), "payload_digest", F.col("of_page").alias("refers_to"))
+    return responses.withColumn("refers_to", F.col("refers_to").cast("long")).union(again)
 
 
 def round_trip(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
