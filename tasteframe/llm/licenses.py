@@ -40,6 +40,8 @@ NOTICES = [
 ]
 #: Share of a notice's weight that must stand at its place; digits of scores.
 COVERAGE, DIGITS = 0.8, 6
+#: Share of that weight that words without postings may have: what posted words must agree on is the rest.
+POSTED = 0.5
 #: Added to every weight, so that words of all documents still count.
 FLOOR = 0.01
 
@@ -66,38 +68,45 @@ def _template(label: str, text: str, key: str, idf: dict[str, float], base: bool
 
 
 class Index:
-    """Postings of the rarest words of each template: word to (template, offset).
+    """Postings of the rarest words of each template: word to (template, offset, weight).
 
-    A template is posted under its words of highest IDF until words that are not posted weigh less than COVERAGE of it:
-    any place with that coverage, so any exact phrase, holds a posted word. Mandatory phrases are checked word by word.
+    A template is posted under its words of highest IDF until words that are not posted weigh less than POSTED of the coverage that
+    a place needs. A text's rare words are looked up, and the postings of a template intersected by relative position: the
+    weights of the words that agree on a start are added up, and a start is compared word by word, key phrase first, only if
+    they and all words that are not posted can reach COVERAGE.
     """
 
     def __init__(self, idf: dict[str, float]):
         self.templates = [_template(l, t, t, idf, True) for t, l in BASE] + [_template(l, t, k, idf, False) for l, t, k in NOTICES]
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        self.postings: dict[bytes, list[tuple[int, int, float]]] = {}
+        #: What the posted words of a start must weigh: beyond it the other words cannot make up.
+        self.enough: list[float] = []
         for n, t in enumerate(self.templates):
             left, posted = sum(t.weight), set()
             for w in sorted(set(t.words), key=lambda w: (-idf[w.decode()], w)):
-                if left < t.least * (1 - 1e-9):
+                if left < POSTED * t.least:
                     break
                 posted.add(w)
                 left -= sum(x for x, v in zip(t.weight, t.words, strict=True) if v == w)
+            self.enough.append(t.least - left)
             for at, w in enumerate(t.words):
                 if w in posted:
-                    self.postings.setdefault(w, []).append((n, at))
+                    self.postings.setdefault(w, []).append((n, at, t.weight[at]))
+
+    def starts(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(template, start) whose posted words weigh enough."""
+        held: dict[tuple[int, int], float] = {}
+        for at, w in enumerate(words):
+            for n, offset, weight in self.postings.get(w, ()):
+                place = n, at - offset
+                held[place] = held.get(place, 0.0) + weight
+        return [(n, p) for (n, p), x in held.items() if x >= self.enough[n] - 1e-9 and 0 <= p <= len(words) - len(self.templates[n].words)]
 
     def scan(self, words: list[bytes]) -> tuple:
         """(places of base phrases, first, last, base labels, labels, score) of a text."""
-        starts: set[tuple[int, int]] = set()
-        postings, size = self.postings, len(words)
-        for at, w in enumerate(words):
-            if w in postings:
-                starts.update((n, at - offset) for n, offset in postings[w])
         base, labels, places, score = set(), set(), [], 0.0
-        for n, p in starts:
+        for n, p in self.starts(words):
             t = self.templates[n]
-            if p < 0 or p + len(t.words) > size:
-                continue
             here = words[p : p + len(t.words)]
             a, b = t.key
             if tuple(here[a:b]) != t.words[a:b]:
