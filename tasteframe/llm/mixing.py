@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tasteframe.llm.common import fresh_name
 from tasteframe.scratch import materialise
 
 #: A hash has LEVELS digits of DIGIT bits; each level refines the boundary cell of the level before.
@@ -131,12 +132,16 @@ JOIN extra e ON s.source IS NOT DISTINCT FROM e.source AND s.hash = e.hash
 
 
 def mixed_documents(docs: DataFrame, most: float = 3.0) -> DataFrame:
-    """``docs`` as the mix takes them: each with ``copies`` (1 and up) and ``target_words`` of its source; others are left out."""
+    """``docs`` as the mix takes them: each with ``copies`` (1 and up) and ``target_words`` of its source; others are left out.
+
+    Columns of these two names that ``docs`` has are replaced.
+    """
     names = [c for c in docs.columns if c not in ("copies", "target_words")]
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     plan = thresholds(materialise(docs.select(F.col("source").cast("string").alias("source"), size.alias("size"), hash36("doc_id").alias("hash")), "sizes"), most)
-    plan = plan.select(F.struct("*").alias("_plan_of_source"))
-    plan_of = F.col("_plan_of_source")
-    rows = docs.select(*names, hash36("doc_id").alias("_hash_of_id")).join(plan, F.col("source").cast("string").eqNullSafe(plan_of["s"]))
-    copies = plan_of["whole"] + F.when(F.col("_hash_of_id") < plan_of["end"], 1).otherwise(0)
+    held, hash_of = fresh_name(names, "_plan_of_source"), fresh_name(names, "_hash_of_id")
+    plan = plan.select(F.struct("*").alias(held))
+    plan_of = F.col(held)
+    rows = docs.select(*names, hash36("doc_id").alias(hash_of)).join(plan, F.col("source").cast("string").eqNullSafe(plan_of["s"]))
+    copies = plan_of["whole"] + F.when(F.col(hash_of) < plan_of["end"], 1).otherwise(0)
     return rows.select(*names, copies.alias("copies"), plan_of["target"].alias("target_words")).filter("copies > 0")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteframe.llm.common import U64, WordCodes, blank_words, by_group, components, pieces, shingles
+from tasteframe.llm.common import U64, WordCodes, blank_words, by_group, components, fresh_name, pieces, shingles
 from tasteframe.scratch import materialise
 
 #: Register base, rate and range of the sketch: registers fit 16 bits for sets of up to 10^22 elements.
@@ -224,13 +224,15 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, k: int = 5) -> DataFrame:
     Of rows that repeat a doc_id one stays (the smallest text). Rows without doc_id stay. Columns are unchanged.
     """
     names = docs.columns
-    kept = near_duplicates(docs, threshold, k).filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows_of_id"))
+    count, one = fresh_name(names, "_rows_of_id"), fresh_name(names, "_row")
+    kept = near_duplicates(docs, threshold, k).filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(count))
     kept = materialise(kept, "kept")
     # ids grow with the documents: one plan for every size, a merge of both sides by id
     rows = docs.join(kept.hint("merge"), "doc_id")
-    once = rows.filter("_rows_of_id = 1").select(names)
-    many = rows.filter("_rows_of_id > 1").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in names if c not in ("doc_id", "text")])).alias("_row"))
-    many = many.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in names])
+    once = rows.filter(F.col(count) == 1).select(names)
+    rest = F.struct(F.lit(0).alias(fresh_name(names, "_none")), *[c for c in names if c not in ("doc_id", "text")])  # compared as JSON: maps have no order
+    many = rows.filter(F.col(count) > 1).groupBy("doc_id").agg(F.min_by(F.struct("text", rest.alias("rest")), F.struct("text", F.to_json(rest))).alias(one))
+    many = many.select(*[F.col("doc_id") if c == "doc_id" else F.col(one)["text"].alias(c) if c == "text" else F.col(one)["rest"][c].alias(c) for c in names])
     return once.union(many).union(docs.filter("doc_id is null").select(names))
 
 

@@ -57,6 +57,8 @@ def test_archive_is_a_warc_stream_and_damage_is_seen(pages, spark):
     fields = warc.parse_header(head + b"\r\n\r\n")
     payload = rest[: int(fields["content-length"])]
     assert rest[len(payload) :] == b"\r\n\r\n" and fields["warc-payload-digest"] == "sha256:" + hashlib.sha256(payload).hexdigest()
+    of_9 = next(k for k in rows if k.startswith("9-"))
+    assert [warc.parse_header(bytes(r.header))["warc-refers-to"] for r in table.filter("data is null").collect()] == [f"<urn:page:{of_9}>"]
     for damaged in (table.filter("chunk <> 3"), table.withColumn("data", F.when(F.col("chunk") == 2, F.lit(b"zz")).otherwise(F.col("data")))):
         with pytest.raises(Exception, match="chunk|digest"):
             warc.read_archives(damaged).collect()
@@ -74,6 +76,11 @@ def test_every_repeated_row_of_many_chunks_comes_back(spark, pages):
     warc.write_archives(table, path, 1000)
     archive = spark.read.parquet(path)
     assert archive.select("record").distinct().count() == 9
+    names = {r.record for r in archive.filter("last").collect()}
+    refers = [warc.parse_header(bytes(r.header))["warc-refers-to"] for r in archive.filter("data is null").collect()]
+    assert len(refers) == 2 and {x[len("<urn:page:") : -1] for x in refers} <= names
+    with pytest.raises(Exception, match="no payload"):
+        warc.resolve(warc.read_archives(archive.filter(~F.col("record").startswith("1-")))).collect()
     with pytest.raises(Exception, match="chunk"):
         warc.read_archives(archive.union(archive.filter("chunk = 2"))).collect()
 
@@ -101,6 +108,26 @@ def test_main_text_of_layouts(pages):
     assert len(html_text.parse(deep)[0]) == 3001 and len(model.marginals(html_text.parse(deep)[0])) == 3001
 
 
+def texts_of(page: str) -> list[str]:
+    return [t for _, t in html_text.parse(page)[1]]
+
+
+def test_unclosed_and_odd_elements_lose_no_text():
+    assert texts_of("<article><p>Before it.</p><button>Go<p>Middle text of article.</p><p>More.</p><button>x</button><p>After.</p></article>") == ["Before it.", "Middle text of article.", "More.", "After."]
+    assert texts_of("<p>Press <button>OK</button> and <select><option>a<option>b</select> go.</p>") == ["Press and go."]
+    assert texts_of("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, <object>an object</object>, <audio>a song</audio>.</p>") == ["If x=2 holds, an object, a song."]
+    assert texts_of("<p>a<noscript>b<p>c<svg><text>d</text></svg>e") == ["a b", "c e"]
+
+
+def test_time_is_proportional_to_the_page():
+    import time
+
+    for piece in ("<button>x", "<noscript>x", "<select><option>x", "<svg>x", "<p><b>x", "<div>x", "<li>x", "<!x", "<a 'x", "<td>x<tr>", "</button x"):
+        began = time.time()
+        nodes, blocks = html_text.parse(piece * (2_000_000 // len(piece)))
+        assert time.time() - began < 30, piece
+
+
 def test_marginals_match_enumeration():
     nodes, _ = html_text.parse("<div>a b. <p>c</p><ul><li>d</li><li>e.</li></ul></div><p>f</p>")
     model = html_text.Model({"tag:p": 0.8, "tag:li": -0.6, "tag:ul": 0.3, "ends:1": 0.9}, ((0.7, 0.3), (0.2, 0.8)), 0.4)
@@ -178,6 +205,23 @@ def test_dialogue_becomes_calls_and_empty_tables_work(spark):
     assert chat.format_chats(chats(spark, rows).limit(0)).collect() == []
 
 
+def test_hostile_json(spark):
+    """Deep nesting, lone surrogates, long integers, numbers beyond JSON, types as lists: no row ends the query."""
+    long = "9" * 400
+    texts = ['{"tool_calls":' + "[" * 200_000, '{"tool_calls":[{"id":"\\ud800","function":{"name":"f","arguments":{"n":' + long + ',"\\udc00":1}}}]}', '{"tool_calls":[{"id":"b","function":{"name":"f","arguments":"{\\"n\\":NaN}"}}]}',
+             '{"tool_calls":[{"id":"c","function":{"name":"f","arguments":"{\\"n\\":1e999}"}}]}', '{"tool_calls":[{"id":"d","function":{"name":"f","arguments":{"n":null}}}],"turn":Infinity}',
+             '{"tool_calls":[{"id":"e","function":{"name":"f","arguments":{"n":null}}}]}', '{"tool_calls":[{"id":"g","function":{"name":"f","arguments":' + "[" * 900 + "]" * 900 + "}}]}"]
+    rows = [(1, i, "assistant", x) for i, x in enumerate(texts)] + [(1, 9, "tool", '{"tool_call_id":"\\ud800","content":"\\udfff"}')]
+    schema = {"f": {"type": "object", "properties": {"n": {"type": ["integer", "null"], "minimum": 3}}}}
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), schema, chained=False).collect()
+    for r in got:
+        json.loads(r.json, parse_constant=lambda x: 1 / 0)
+    by = {r.turn: r for r in got}
+    assert len(got) == 8 and [by[i].kind for i in range(7)] == ["message", "call", "call", "call", "message", "call", "call"]
+    assert by[1].call_id == "\ufffd" and by[1].valid and by[1].status == "linked" and long in by[1].json and by[9].status == "linked"
+    assert [by[i].valid for i in (2, 3, 5, 6)] == [False, False, True, False] and by[2].fault == by[3].fault == "$: not JSON"
+
+
 # nearest neighbours
 
 
@@ -199,7 +243,10 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     full, hits = x.astype(np.float64), 0
     assert sorted(got) == list(range(0, 900, 20))
     for q, found in got.items():
-        s = full @ full[q]
+        nine = np.full(24, 9.0)  # another vector of id 20
+        both = [full[q], nine] if q == 20 else [full[q]]
+        s = np.max([full @ v for v in both], axis=0)
+        s[20] = max(s[20], *(nine @ v for v in both))
         s[q] = -np.inf
         want = np.lexsort((np.arange(900), -s))[:20]
         found.sort()
@@ -223,6 +270,24 @@ def test_probing_is_complete_within_the_radius():
         assert set(found[found.query_id == q].vec_id) == set(np.flatnonzero(d <= 40)) - {q}
 
 
+def test_lengths_and_repeated_ids(spark):
+    """Every usable vector asks and is found: two lengths, an id with vectors of both, better and worse ones of one id."""
+    rows = [(20, [1.0, 0.0]), (20, [500.0, 500.0]), (1, [1.0, 1.0]), (2, [2.0, -1.0]), (40, [0.5, 0.5]), (100, [1.0, 0.0, 0.0]), (120, [0.0, 1.0, 1.0]), (40, [3.0, 0.0, 1.0]), (40, [0.5, 0.5])]
+    got = {}
+    for r in neighbours.nearest(vectors(spark, [(i, v, 0, 0.0, 0, "") for i, v in rows])).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = {}
+    for q in (20, 40, 100, 120):
+        best = {}
+        for i, a in rows:
+            for j, b in rows:
+                if i == q != j and len(a) == len(b):
+                    best[j] = max(best.get(j, -1e9), sum(x * y for x, y in zip(a, b, strict=True)))
+        want[q] = [(n + 1, j, s) for n, (s, j) in enumerate(sorted((-s, j) for j, s in best.items()))]
+        want[q] = [(n, j, -s) for n, j, s in want[q]]
+    assert {q: sorted(v) for q, v in got.items()} == want
+
+
 def test_few_and_no_vectors(spark):
     few = vectors(spark, [(i, [1.0 + i, 1.0], 0, 0.0, 0, "") for i in (0, 1, 2)])
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.nearest(few).orderBy("rank").collect()] == [(0, 1, 2, 4.0), (0, 2, 1, 3.0)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -10,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tasteframe.llm import common, decontaminate, language_model, licenses, mixing, near_dedup, quality
 from tests.llm.conftest import DOCS, rows_of
@@ -99,6 +101,16 @@ def test_an_id_with_several_texts_is_one_node(spark):
     assert sorted(r.doc_id for r in near_dedup.keep_one(docs).collect()) == [3, 8, 11, 12]
 
 
+def test_columns_with_the_names_of_helpers(spark):
+    """Stages of the pipeline on columns that are named like their own, maps among them, and repeated ids."""
+    docs = spark.createDataFrame([(i % 4, f"text number {i // 2} of some words", "s", 1, 2, 3, 4, {"a": i}) for i in range(10)], "doc_id long, text string, source string, _rows_of_id int, _ROW int, "
+                                 "_plan_of_source int, _hash_of_id int, m map<string,int>")
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 2]
+    mixed = mixing.mixed_documents(docs.withColumn("copies", F.lit("x")))
+    assert mixed.columns == [*docs.columns, "copies", "target_words"] and mixed.count() <= 10
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert near_dedup.near_duplicates(no_docs).collect() == []
     assert near_dedup.keep_one(no_docs).collect() == []
@@ -142,6 +154,28 @@ def test_licences_of_nothing(no_docs):
     assert licenses.scan(no_docs).collect() == []
 
 
+def test_postings_are_intersected():
+    """Only starts on which posted words agree are compared, and every place with enough weight is among them."""
+    rng = random.Random(3)
+    index = licenses.Index({w: rng.uniform(0.01, 3) for w in licenses.vocabulary()})
+    words = [w.encode() for w in licenses.vocabulary()] + [b"other"] * 20
+    compared = suggested = 0
+    for _ in range(200):
+        text = rng.choices(words, k=60)
+        for t in rng.sample(index.templates, 2):
+            at = rng.randint(0, 60)
+            text[at:at] = [w if rng.random() < 0.93 else b"other" for w in t.words]
+        starts = set(index.starts(text))
+        single = {(n, i - o) for i, w in enumerate(text) for n, o, _ in index.postings.get(w, ())}
+        assert starts <= single
+        compared, suggested = compared + len(starts), suggested + len(single)
+        for n, t in enumerate(index.templates):
+            for p in range(len(text) - len(t.words) + 1):
+                if sum(x for x, v, w in zip(t.weight, t.words, text[p:], strict=False) if v == w) >= t.least:
+                    assert (n, p) in starts
+    assert compared < 0.3 * suggested
+
+
 # mixing
 
 
@@ -214,6 +248,24 @@ def test_quality_learns_rules_and_scores_every_row(messy, spark, texts):
     assert kept.columns == docs.columns and kept.filter("doc_id >= 1000").count() <= 3
 
 
+def test_quality_scores_are_the_rules(messy, spark, texts, monkeypatch):
+    """The score by plain Python from the rules; equal rows and texts of one id are bounded by the sample."""
+    labels = spark.createDataFrame([(i, int(i % 2 == 0 or i > 60)) for i in texts if i is not None], "doc_id long, quality int")
+    seen = []
+    inner = quality.with_statistics
+    monkeypatch.setattr(quality, "with_statistics", lambda d, name="_statistics": (seen.append(d.count()) if name == "stats" else None, inner(d, name))[1])
+    many = messy.select("doc_id", "text").unionByName(spark.range(200).selectExpr("2L as doc_id", "concat('text ', id % 90) as text"))
+    model = quality.fit(many, labels, sample=60)
+    assert seen == [60]
+    for r in quality.score(many, model).join(many, "doc_id").dropDuplicates(["doc_id", "text"]).filter("doc_id <> 2").collect():
+        x = quality.text_statistics(r.text)
+        total = model.intercept
+        for rule, weight in model.weights:
+            if all(x[at] <= bound if below else x[at] > bound for at, below, bound in rule.bounds):
+                total += weight
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-12 and r.predicted == int(r.score >= 0.3)
+
+
 @pytest.mark.parametrize(("labels", "score"), [([], 0.5), ([(1, 1)] * 1, 2 / 3), ([(1, 0), (2, 0)], 1 / 4)])
 def test_quality_without_two_classes(messy, no_docs, spark, labels, score):
     model = quality.fit(messy, spark.createDataFrame(labels, "doc_id long, quality int"))
