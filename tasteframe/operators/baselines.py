@@ -19,7 +19,7 @@ def predict_constant(targets: DataFrame, value: float = 2.0) -> DataFrame:
 
 def predict_random_uniform(targets: DataFrame, *, seed: int = 0) -> DataFrame:
     """Uniform on the scale, the same value for the same (user, item, seed)."""
-    u = ranking.seeded_order(C.USER, C.ITEM, seed=seed) / 1000003.0
+    u = ranking.seeded_number(C.USER, C.ITEM, seed=seed) / float(1 << 60)
     return targets.withColumn("est", F.lit(C.RATING_MIN) + u * SPAN)
 
 

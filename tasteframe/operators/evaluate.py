@@ -16,8 +16,8 @@ from tasteframe.operators import ranking, stats
 
 
 def is_test_row(share: float, seed: int) -> Column:
-    """A row split by integer arithmetic on the ids: the same rows in every run and plan."""
-    return ranking.seeded_order(C.USER, C.ITEM, seed=seed) % 10_000 < int(share * 10_000)
+    """A row split by a hash of the ids: the same rows in every run and plan."""
+    return ranking.seeded_number(C.USER, C.ITEM, seed=seed) % 10_000 < int(share * 10_000)
 
 
 def split_train_test(ratings: DataFrame, *, share: float = 0.20, seed: int = 1) -> tuple[DataFrame, DataFrame]:

@@ -114,14 +114,6 @@ def ideal_rank(predictions: DataFrame, k: int) -> DataFrame:
     return predictions.withColumn("ideal_rank", F.row_number().over(w)).where(F.col("ideal_rank") <= k)
 
 
-def seeded_order(*columns: str, seed: int = 0) -> Column:
-    """A repeatable random-looking order from integer arithmetic on the ids."""
-    x = F.lit(seed).cast("long")
-    for c in columns:
-        x = (x * 31 + F.abs(F.col(c)) * 7919 + 104729) % 1000003
-    return x
-
-
 def seeded_number(*columns: str, seed: int = 0) -> Column:
     """A repeatable random-looking number of 60 bits: as a remainder it reaches every position of any table."""
     text = F.concat_ws(" ", *[F.col(c).cast("string") for c in columns], F.lit(str(seed)))
@@ -131,7 +123,7 @@ def seeded_number(*columns: str, seed: int = 0) -> Column:
 def pick_one_per_user(ratings: DataFrame, *, seed: int = 0) -> DataFrame:
     """One seeded random rating per user, by an ordinary aggregate (no sort of a user's rows)."""
     pick = F.min_by(
-        F.struct(C.ITEM, C.RATING), F.struct(seeded_order(C.USER, C.ITEM, seed=seed).alias("h"), F.col(C.ITEM))
+        F.struct(C.ITEM, C.RATING), F.struct(seeded_number(C.USER, C.ITEM, seed=seed).alias("h"), F.col(C.ITEM))
     )
     return ratings.groupBy(C.USER).agg(pick.alias("p")).select(C.USER, "p.*")
 
@@ -140,7 +132,7 @@ def top50_then_sample(scored: DataFrame, n: int, *, score: str, seed: int = 0, p
     """The best ``pool`` rows, n of them drawn without replacement, best first."""
     best = scored.orderBy(F.col(score).desc(), C.ITEM).limit(pool)
     return (
-        best.orderBy(seeded_order(C.ITEM, seed=seed), C.ITEM).limit(n).orderBy(F.col(score).desc(), C.ITEM)
+        best.orderBy(seeded_number(C.ITEM, seed=seed), C.ITEM).limit(n).orderBy(F.col(score).desc(), C.ITEM)
     )
 
 

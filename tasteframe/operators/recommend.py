@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
-from tasteframe.operators import hybrid, ranking
+from tasteframe.operators import blocks, hybrid, ranking
 from tasteframe.operators.catalogue import enrich_with_metadata, user_item_pairs
 from tasteframe.operators.filters import exclude_seen, mentioned_items
 from tasteframe.operators.linear import content_predict, explain, explain_without_model
 from tasteframe.operators.surprise import surprise_scores
+from tasteframe.scratch import materialise
 
 Model = Callable[[DataFrame, DataFrame], DataFrame]
 Users = Sequence[int] | DataFrame
@@ -69,6 +71,53 @@ def recommend(
     return _present(scored, items, n, columns=["final_score", "svd_score", "itr_score", "content_score"])
 
 
+#: Scores are shown with three digits: candidates may lie this much below the score to beat.
+SLACK = 2e-3
+MakeSource = Callable[[DataFrame, DataFrame, DataFrame, float], blocks.Source]
+
+
+def recommend_all(
+    train: DataFrame, items: DataFrame, models: dict[str, Model], sources: dict[str, MakeSource], *, users: DataFrame | None = None,
+    n: int = C.TOP_N, weights: dict[str, float] | None = None, itr: dict | None = None, first: int = 4, report: dict | None = None,
+) -> DataFrame:
+    """The rows of ``recommend`` for all users of ``train`` (or a table of them), without a row per user and item.
+
+    A threshold search. ``sources`` makes, for each model but "itr", the vectors whose dot product is its estimate; the itr model
+    (parameters ``itr``) is known by bounds from the deviations and traits of an item's raters. Blocks of items give the candidates
+    whose upper bound reaches the n-th best lower bound; the ``first`` x n best of them are scored by the models; of the rest only those
+    whose upper bound reaches the n-th best score. The result is exact. ``report`` receives counts. Eager.
+    """
+    w = _weights(models, weights)
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "train")
+    users = materialise((train if users is None else users).select(F.col(C.USER).cast("long").alias(C.USER)).dropna().distinct(), "users")
+    linear = [make(train, users, items, w[name]) for name, make in sources.items()]
+    near = blocks.itr_bounds(train, w["itr"], **(itr or C.ITR_PARAMS)) if "itr" in models else None
+    found = blocks.best_unseen(users, items, train, linear, n, neighbours=near, slack=SLACK, report=report)
+    place = F.row_number().over(W.partitionBy(C.USER).orderBy(F.col("upper").desc(), C.ITEM))
+    found = materialise(found.withColumn("place", place), "candidates")
+    scored = materialise(hybrid_scores(train, found.where(F.col("place") <= first * n).select(C.USER, C.ITEM), models, w), "scored")
+    by_score = F.row_number().over(W.partitionBy(C.USER).orderBy(F.col("final_score").desc(), C.ITEM))
+    least = scored.withColumn("r", by_score).where(F.col("r") == n).select(C.USER, F.col("final_score").alias("least"))
+    rest = found.where(F.col("place") > first * n).join(least, C.USER).where(F.col("upper") >= F.col("least") - SLACK)
+    rest = materialise(rest.select(C.USER, C.ITEM), "candidates")
+    if report is not None:
+        report |= {"candidates": found.count(), "scored": scored.count() + rest.count()}
+    scored = scored.unionByName(hybrid_scores(train, rest, models, w))
+    if "content" not in models:
+        scored = scored.withColumn("content_score", F.lit(0.0))
+    return _present(scored, items, n, columns=["final_score", "svd_score", "itr_score", "content_score"])
+
+
+def surprise_me_all(
+    models: DataFrame, features: DataFrame, train: DataFrame, items: DataFrame, *, users: DataFrame | None = None, n: int = C.TOP_N, report: dict | None = None,
+) -> DataFrame:
+    """The rows of ``surprise_me`` for all users with a model (or a table of users), in blocks. Eager."""
+    users = (models if users is None else users).select(C.USER).distinct()
+    source = blocks.content_source(models, features, train)
+    top = blocks.best_unseen(users, items, train, [source], n, digits=3, report=report)
+    return _single_source(top.select(C.USER, C.ITEM, "est"), items, n)
+
+
 def _single_source(scored: DataFrame, items: DataFrame, n: int) -> DataFrame:
     rows = scored.withColumns({
         "final_score": F.col("est"), "svd_score": F.lit(0.0), "itr_score": F.lit(0.0), "content_score": F.col("est"),

@@ -412,7 +412,7 @@ def _(t):
 
 @query("pick_one_per_user", """
     SELECT userId, movieId, rating FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY
-      (((0 * 31 + abs(userId) * 7919 + 104729) % 1000003) * 31 + abs(movieId) * 7919 + 104729) % 1000003, movieId) AS r FROM ratings) x WHERE r = 1""")
+      CAST('0x' || substr(md5(concat(userId, ' ', movieId, ' 0')), 1, 15) AS BIGINT), movieId) AS r FROM ratings) x WHERE r = 1""")
 def _(t):
     return ranking.pick_one_per_user(t.ratings())
 

@@ -8,14 +8,14 @@ from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators import baselines as B
 from tasteframe.operators import evaluate as E
-from tasteframe.operators import hybrid, ranking, stats
+from tasteframe.operators import hybrid, protocols, ranking, stats
 from tasteframe.operators import neighbours as N
 from tasteframe.plans.queries_models import CLIP, MSD, content_knn_sql, itr_knn_sql, knn_sql, sims_of, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
 from tasteframe.scratch import materialise
 
 R = S.fixed_round
-SEEDED = "(((({seed} * 31 + abs(userId) * 7919 + 104729) % 1000003) * 31 + abs(movieId) * 7919 + 104729) % 1000003)"
+SEEDED = "CAST('0x' || substr(md5(concat(userId, ' ', movieId, ' {seed}')), 1, 15) AS BIGINT)"
 
 relation("item_means", "SELECT movieId AS mid, avg(rating) AS im FROM train GROUP BY movieId")
 relation("bias_i", "SELECT movieId AS mid, (sum(rating) - count(*) * max(g)) / (10 + count(*)) AS bi FROM train, train_gm GROUP BY movieId")
@@ -46,7 +46,7 @@ def _(t):
     return B.predict_constant(keys(t))
 
 
-@query("predict_random_uniform", f"SELECT userId, movieId, {dec('0.5 + ' + SEEDED.format(seed=0) + ' / 1000003.0 * 4.5', 6)} AS est FROM test")
+@query("predict_random_uniform", f"SELECT userId, movieId, {dec('0.5 + ' + SEEDED.format(seed=0) + ' / 1152921504606846976.0 * 4.5', 6)} AS est FROM test")
 def _(t):
     return B.predict_random_uniform(keys(t)).withColumn("est", R("est", 6))
 
@@ -89,12 +89,12 @@ def _(t):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-_HELD = f"SELECT userId, movieId FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY {SEEDED.format(seed=0)}, movieId) AS r FROM ratings) x WHERE r = 1"
+relation("held", f"SELECT userId, movieId FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY {SEEDED.format(seed=0)}, movieId) AS r FROM ratings) x WHERE r = 1")
 
 
-@query("leave_one_out", f"""
+@query("leave_one_out", """
     SELECT r.userId, r.movieId, rating, CASE WHEN h.userId IS NULL THEN 'train' ELSE 'test' END AS part
-    FROM ratings r LEFT JOIN ({_HELD}) h ON r.userId = h.userId AND r.movieId = h.movieId""")
+    FROM ratings r LEFT JOIN held h ON r.userId = h.userId AND r.movieId = h.movieId""")
 def _(t):
     train, held = E.leave_one_out(t.ratings())
     cols = [C.USER, C.ITEM, C.RATING]
@@ -264,3 +264,51 @@ def _(t):
         "user_knn": lambda train, want: knn(train, want).withColumn("est", R("est", 6)),
     }
     return evaluate_models(models, t.train(), t.test(), t.items(), t.ratings())
+
+
+# --- protocols: bias model and item means, on the split, on one held-out item per user, and on everything ------------
+
+def biases_sql(name: str, rows: str) -> None:
+    """Relations of the bias model on some rows: <name>_g, <name>_i, <name>_u."""
+    relation(f"{name}_g", f"SELECT avg(rating) AS g FROM {rows}")
+    relation(f"{name}_i", f"SELECT movieId AS mid, avg(rating) AS im, (sum(rating) - count(*) * max(g)) / (10 + count(*)) AS bi FROM {rows}, {name}_g GROUP BY movieId")
+    relation(f"{name}_u", f"SELECT userId AS uid, (sum(rating - bi) - count(*) * max(g)) / (15 + count(*)) AS bu FROM {rows} JOIN {name}_i ON movieId = mid, {name}_g GROUP BY userId")
+
+
+relation("split_test", f"SELECT * FROM ratings WHERE {SEEDED.format(seed=1)} % 10000 < 2000")
+relation("split_train", f"SELECT * FROM ratings WHERE NOT ({SEEDED.format(seed=1)} % 10000 < 2000)")
+relation("held_train", "SELECT r.* FROM ratings r LEFT JOIN held h ON r.userId = h.userId AND r.movieId = h.movieId WHERE h.userId IS NULL")
+for _name, _rows in (("split", "split_train"), ("loo", "held_train"), ("whole", "ratings")):
+    biases_sql(_name, _rows)
+_EST = {"bias": CLIP.format("g + coalesce(bu, 0) + coalesce(bi, 0)"), "item_mean": CLIP.format("coalesce(im, g)")}
+for _model, _est in _EST.items():
+    relation(f"split_{_model}", f"SELECT userId, movieId, rating, {_est} AS est FROM split_test LEFT JOIN split_i ON movieId = mid LEFT JOIN split_u ON userId = uid, split_g")
+    for _name, _rows in (("loo", "held_train"), ("whole", "ratings")):
+        relation(f"{_name}_{_model}", f"""
+            SELECT uid AS userId, mid AS movieId, row_number() OVER (PARTITION BY uid ORDER BY floor({_est} * 1e9 + 0.5) / 1e9 DESC, mid) AS rank
+            FROM {_name}_u JOIN {_name}_i ON true, {_name}_g WHERE NOT EXISTS (SELECT 1 FROM {_rows} s WHERE s.userId = uid AND s.movieId = mid)""")
+
+
+def report_sql(model: str) -> str:
+    return f"""
+        SELECT '{model}' AS model, {dec('sqrt(avg((rating - est) * (rating - est)))', 4)} AS rmse, {dec('avg(abs(rating - est))', 4)} AS mae, {dec('avg((rating - est) * (rating - est))', 4)} AS mse,
+          (SELECT {dec('count(CASE WHEN a.est > b.est THEN 1 END) / CAST(count(*) AS DOUBLE)', 4)} FROM split_{model} a JOIN split_{model} b ON a.userId = b.userId AND a.rating > b.rating) AS fcp,
+          (SELECT {dec('count(CASE WHEN rank <= 10 THEN 1 END) / CAST(count(*) AS DOUBLE)', 4)} FROM held h LEFT JOIN loo_{model} l ON l.userId = h.userId AND l.movieId = h.movieId) AS hit_rate,
+          (SELECT {dec('sum(coalesce(1.0 / rank, 0)) / count(*)', 4)} FROM held h LEFT JOIN loo_{model} l ON l.userId = h.userId AND l.movieId = h.movieId) AS reciprocal_rank,
+          (SELECT {dec('avg(s)', 4)} FROM (SELECT l.userId, sum(k.rank) AS s FROM whole_{model} l JOIN popular k ON l.movieId = k.movieId WHERE l.rank <= 10 GROUP BY l.userId) x) AS novelty_rank,
+          (SELECT {dec('avg(s)', 4)} FROM (SELECT avg(-log2(p)) AS s FROM whole_{model} JOIN pops ON movieId = mid WHERE rank <= 10 GROUP BY userId) x) AS novelty
+        FROM split_{model}"""
+
+
+@query("evaluation_report", " UNION ALL ".join(map(report_sql, _EST)))
+def _(t):
+    """Three protocols with metrics of the registry."""
+    wanted = {"split": ["rmse", "mae", "mse", "fcp"], "loo": ["hit_rate", "reciprocal_rank"], "full": ["novelty_rank", "novelty"]}
+    return protocols.evaluation_report({"bias": protocols.BIAS, "item_mean": protocols.ITEM_MEAN}, t.ratings(), t.items(), metrics=wanted)
+
+
+@query("held_out_ranks", """
+    SELECT h.userId, h.movieId, rank FROM held h LEFT JOIN loo_bias l ON l.userId = h.userId AND l.movieId = h.movieId""")
+def _(t):
+    train, held = E.leave_one_out(t.ratings().select(C.USER, C.ITEM, C.RATING))
+    return protocols.held_out_ranks(protocols.BIAS, materialise(train, "held-train"), materialise(held, "held"))

@@ -8,7 +8,7 @@ from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators import baselines as B
 from tasteframe.operators import features as FT
-from tasteframe.operators import filters, latent, linear, ranking, scoring, stats, topics, trees
+from tasteframe.operators import blocks, filters, latent, linear, ranking, scoring, stats, topics, trees
 from tasteframe.operators import neighbours as N
 from tasteframe.operators import recommend as RC
 from tasteframe.operators import surprise
@@ -23,6 +23,8 @@ from tasteframe.sources.sinks import union_ratings
 from tasteframe.sources.tables import clean_library
 
 R = S.fixed_round
+#: Ridge penalty of the content model on V3.
+C_ALPHA = 1.0
 
 # --- per-user linear models -----------------------------------------------------------------------
 
@@ -401,12 +403,46 @@ def _(t):
 
 @query("recommend_group_surprise", f"""
     SELECT s.movieId, title, genres, {dec('score', 6)} AS group_score, 3 AS n_users FROM (
-      SELECT * FROM (SELECT * FROM surprise ORDER BY score DESC, movieId LIMIT 50) b ORDER BY (abs(movieId) * 7919 + 104729) % 1000003, movieId LIMIT 8) s
+      SELECT * FROM (SELECT * FROM surprise ORDER BY score DESC, movieId LIMIT 50) b ORDER BY CAST('0x' || substr(md5(concat(movieId, ' 0')), 1, 15) AS BIGINT), movieId LIMIT 8) s
     JOIN items i ON i.movieId = s.movieId""")
 def _(t):
     return RC.recommend_group_surprise(vectors(t), t.items(), t.ratings(), t.participants(GROUP))
 
 
+relation("all_targets", "SELECT u.userId, i.movieId FROM (SELECT DISTINCT userId FROM train) u JOIN items i ON true WHERE NOT EXISTS (SELECT 1 FROM train r WHERE r.userId = u.userId AND r.movieId = i.movieId)")
+relation("all_scores", two_model_sql("all_targets"))
+
+
+@query("recommend_all", f"""
+    SELECT userId, rank, x.movieId, title, genres, final_score, svd_score, itr_score, CAST(0 AS DOUBLE) AS content_score FROM (
+      SELECT *, row_number() OVER (PARTITION BY userId ORDER BY final_score DESC, movieId) AS rank FROM (
+        SELECT userId, movieId, {dec('final', 3)} AS final_score, {dec('svd', 3)} AS svd_score, {dec('itr', 3)} AS itr_score FROM all_scores) s) x
+    JOIN items i ON i.movieId = x.movieId WHERE rank <= 10""")
+def _(t):
+    """``recommend`` for every user, by a threshold search."""
+    return RC.recommend_all(t.train(), t.items(), two_models(), {"svd": blocks.bias_source})
+
+
+@query("recommend_all_content")
+def _(t):
+    """With the weights of three models: ridge models on V3 in the content slot."""
+    x = FT.assemble(v3_block(t), t.items())[0]
+    train = t.train()
+    models = linear.user_ridge(linear.training_rows(train, x), alpha=C_ALPHA)
+    models, x = materialise(models, "ridge-v3"), materialise(x, "v3")
+    content = lambda some, want: linear.content_predict(models, want, x, some)
+    source = lambda some, users, items, weight: blocks.content_source(models, x, some, weight)
+    return RC.recommend_all(train, t.items(), two_models() | {"content": content}, {"svd": blocks.bias_source, "content": source})
+
+
+@query("surprise_me_all")
+def _(t):
+    """``surprise_me`` for every user."""
+    x = materialise(vectors(t), "v5")
+    models = materialise(linear.user_ridge(linear.training_rows(t.train(), x), alpha=25.0), "ridge-v5")
+    return RC.surprise_me_all(models, x, t.train(), t.items())
+
+
 @query("surprise_me")
 def _(t):
     """Ridge models on V5."""
@@ -462,7 +498,7 @@ def _(t):
 
 @query("top50_then_sample", f"""
     SELECT movieId, {dec('m', 6)} AS score FROM (SELECT movieId, m FROM istats ORDER BY m DESC, movieId LIMIT 50) b
-    ORDER BY ((5 * 31 + abs(movieId) * 7919 + 104729) % 1000003), movieId LIMIT 8""")
+    ORDER BY CAST('0x' || substr(md5(concat(movieId, ' 5')), 1, 15) AS BIGINT), movieId LIMIT 8""")
 def _(t):
     s = stats.item_stats(t.ratings()).select(C.ITEM, F.col("rating_mean").alias("score"))
     return ranking.top50_then_sample(s, 8, score="score", seed=5).withColumn("score", R("score", 6))
