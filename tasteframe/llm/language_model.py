@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tasteframe.llm.common import U64, WordCodes, blank_words, pieces
+from tasteframe.llm.common import U64, WordCodes, blank_words, mix, pieces
 from tasteframe.scratch import fresh_path
 
 #: Every FOLDS-th document by crc32 of its id is held out of training.
@@ -26,8 +26,8 @@ DOCS_A_ROW = 500
 SWEEPS, BURN_IN = 4, 2
 #: Concentrations of the context restaurants and of the root.
 THETA, THETA_ROOT = 1.0, 10.0
-#: Customers that are seated at once, as a share of those already there.
-LEAP = 0.05
+#: Up to so many customers of a dish, the distribution of its tables is summed up exactly.
+EXACT = 1024
 #: Code of the end of a text, and smoothing of the base score.
 END, ADD = 0x1E4D0F7E87, 0.1
 CONTEXTS = 256
@@ -171,43 +171,102 @@ class Totals:
     root_tables: tuple[float, ...]
 
 
-def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of one dish in Chinese restaurants: the first customer opens one, each further one opens another with probability
-    weight / (seated - discount * tables + weight). ``weight`` is (concentration + discount * all tables) * base probability.
-    Large numbers are seated in leaps of LEAP of those already there, with the probability at their start.
+_STIRLING: dict[float, np.ndarray] = {}
+
+
+def log_stirling(discount: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: [n, t] sums, over all seatings of n customers at t tables, the products
+    of size - discount that they open with. By S(n + 1, t) = S(n, t - 1) + (n - t * discount) S(n, t)."""
+    if discount not in _STIRLING:
+        out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+        out[1, 1] = 0.0
+        t = np.arange(1, EXACT + 1)
+        for n in range(1, EXACT):
+            stay = out[n, 1 : n + 1] + np.log(n - t[:n] * discount)
+            out[n + 1, 1 : n + 1] = np.logaddexp(out[n, :n], stay)
+            out[n + 1, n + 1] = out[n, n]
+        _STIRLING[discount] = out
+    return _STIRLING[discount]
+
+
+def uniforms(key: np.ndarray, s: int) -> np.ndarray:
+    """A number in (0, 1) for each key and sweep: the same wherever and however often the key is seated."""
+    with np.errstate(over="ignore"):
+        return ((mix(key ^ U64(0x9E3779B97F4A7C15 * (s + 1) & 0xFFFFFFFFFFFFFFFF)) >> U64(11)).astype(np.float64) + 0.5) / 2.0**53
+
+
+def seat(customers: np.ndarray, weight: np.ndarray, discount: float, key: np.ndarray, s: int) -> np.ndarray:
+    """Tables of dishes in Chinese restaurants, a Gibbs step: all customers of a dish are taken out and seated anew given the rest.
+
+    ``weight`` is (concentration + discount * tables of the restaurant) * base probability. The number of tables t of n customers then has
+    probability in proportion to weight^t S(n, t), S as in ``log_stirling``: that is where taking them out one by one ends. It is drawn
+    by inversion. Beyond EXACT customers the same law, which is that of a Poisson number of tables whose sizes follow a stable law and sum up
+    to n, is drawn from its saddle point.
     """
     tables = (customers > 0).astype(np.float64)
-    at = np.flatnonzero(customers > 1)
-    seated = np.ones(len(at))
-    while len(at):
-        step = np.minimum(customers[at] - seated, np.maximum(1, np.floor(seated * LEAP)))
-        p = weight[at] / (seated - discount * tables[at] + weight[at])
-        tables[at] += rng.binomial(step.astype(np.int64), np.clip(p, 0, 1))
-        seated += step
-        left = seated < customers[at]
-        at, seated = at[left], seated[left]
+    u = uniforms(key, s)
+    mean = weight / discount
+    upper = np.ceil(1 + mean + 12 * np.sqrt(mean) + 20)  # each further table is less likely than in a Poisson law of this mean
+    few = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    if len(few):
+        few = few[np.argsort(np.minimum(upper[few], customers[few]), kind="stable")]
+        log_s, width = log_stirling(discount), np.minimum(upper[few], customers[few]).astype(np.int64)
+        at = 0
+        while at < len(few):
+            end = min(len(few), at + max(1, (1 << 20) // int(width[at])))
+            end = min(end, int(np.searchsorted(width, 2 * width[at], "right")))
+            some, t = few[at:end], np.arange(1, int(width[end - 1]) + 1)
+            p = log_s[customers[some].astype(np.int64)][:, t] + t * np.log(weight[some])[:, None]
+            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
+            tables[some] = 1 + (p < (u[some] * p[:, -1])[:, None]).sum(axis=1)
+            at = end
+    many = np.flatnonzero(customers > EXACT)
+    if len(many):
+        tables[many] = _seat_many(customers[many], weight[many], discount, key[many], s)
     return tables
 
 
+def _seat_many(n: np.ndarray, weight: np.ndarray, discount: float, key: np.ndarray, s: int) -> np.ndarray:
+    """Many customers: sizes are tilted until they sum up to n on average; the tables are then nearly normal, or, if few, one and a Poisson number."""
+    low, high = np.full(len(n), -700.0), np.zeros(len(n))  # log(1 - z), with weight * z * (1 - z)^(discount - 1) = n
+    for _ in range(60):
+        q = (low + high) / 2
+        more = np.log(weight) + np.log(-np.expm1(q)) + (discount - 1) * q > np.log(n)
+        low, high = np.where(more, q, low), np.where(more, high, q)
+    q = np.exp((low + high) / 2)
+    mean = weight / discount * (1 - q**discount)
+    spread = np.maximum(mean - n / (1 + (1 - discount) * (1 - q) / q), 1e-12)
+    normal = sum(uniforms(mix(key + U64(j + 1)), s) for j in range(12)) - 6
+    tables = mean + (1 - mean / (mean + 1)) + np.sqrt(spread) * normal
+    few = np.flatnonzero(mean < 40)
+    if len(few):
+        k = np.arange(140)
+        p = np.cumsum(np.exp(k * np.log(mean[few])[:, None] - np.cumsum(np.log(np.maximum(k, 1)))[None, :]), axis=1)
+        tables[few] = 1 + (p < (uniforms(key[few], s) * p[:, -1])[:, None]).sum(axis=1)
+    return np.clip(np.rint(tables), 1, n)
+
+
 def sweeps(words: np.ndarray, row: np.ndarray, context: np.ndarray, n: np.ndarray, totals: Totals, upto: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(tables per pair, customers per word at the root, tables per word at the root) after each Gibbs sweep of these words.
 
     Given the tables of all restaurants after the sweep before, words are independent of each other: each sweep seats the
-    customers of every pair anew given the root's probability of its word, whose customers are the tables of the contexts. Seeds follow
-    from the words, so a repeated task and later passes see the same seating.
+    customers of every pair anew given the root's probability of its word, whose customers are the tables of the contexts. Draws follow
+    from the word, its context and the sweep alone, so a repeated task, later passes and any number of buckets see the same seating.
     """
     n = n.astype(np.float64)
     tables = (n > 0).astype(np.float64)
     served = np.bincount(row, tables, len(words))
     root = (served > 0).astype(np.float64)
+    with np.errstate(over="ignore"):
+        pair_key = mix(words[row] + (context.astype(U64) + U64(1)) * U64(0xD1B54A32D192ED03))
+    word_key = mix(words)
     for s in range(upto):
-        rng = np.random.default_rng([s, int(words[0]), len(words)])
         p_root = root_probability(served, root, totals, s)
         weight = (THETA + totals.discount * totals.tables[s][context]) * p_root[row]
-        tables = seat(n, weight, totals.discount, rng)
+        tables = seat(n, weight, totals.discount, pair_key, s)
         served = np.bincount(row, tables, len(words))
         new = (THETA_ROOT + totals.root_discount * totals.root_tables[s]) / (totals.types + 1)
-        root = seat(served, np.full(len(words), new), totals.root_discount, rng)
+        root = seat(served, np.full(len(words), new), totals.root_discount, word_key, s)
         yield tables, served, root
 
 

@@ -322,13 +322,45 @@ def test_predictive_probabilities_sum_to_one():
     assert p[seen].sum(0) + unknown == pytest.approx(np.ones(contexts), abs=1e-9)
 
 
-def test_seating_follows_the_restaurant():
-    tables = language_model.seat(np.full(20_000, 50.0), np.full(20_000, 2.0), 0.5, np.random.default_rng(0))
-    one = [1.0]
-    for n in range(1, 50):  # the mean number of tables, customer by customer
-        one.append(one[-1] + 2.0 / (n - 0.5 * one[-1] + 2.0))
-    assert tables.mean() == pytest.approx(one[-1], rel=0.03) and tables.max() <= 50
-    assert language_model.seat(np.array([0.0, 1.0, 1e6]), np.ones(3), 0.5, np.random.default_rng(0))[:2].tolist() == [0, 1]
+def exact_mean(n: int, weight: float, d: float) -> float:
+    """Mean tables under weight^t S(n, t), by the recursion in scaled numbers."""
+    p = np.array([0.0, 1.0])
+    for m in range(1, n):
+        t = np.arange(len(p) + 1)
+        p = np.append(p, 0) * np.maximum(m - t * d, 0) + weight * np.insert(p, 0, 0)
+        p = p / p.sum()
+    return float((p * np.arange(len(p))).sum())
+
+
+def test_seating_is_the_posterior():
+    """Mean tables for few and for many customers, against the exact law; the judge of a chain that reseats one customer at a time."""
+    key = np.random.default_rng(1).integers(0, 2**63, 40_000).astype(np.uint64)
+    for n, weight, d in ((2, 0.3, 0.5), (50, 2.0, 0.5), (1000, 0.05, 0.8), (300, 400.0, 0.7), (1024, 30.0, 0.3), (1500, 0.4, 0.6), (3000, 20.0, 0.5), (4000, 3000.0, 0.7), (2000, 90.0, 0.9), (1100, 8.0, 0.2)):
+        drawn = language_model.seat(np.full(len(key), float(n)), np.full(len(key), weight), d, key, 0)
+        assert drawn.mean() == pytest.approx(exact_mean(n, weight, d), rel=0.03), (n, weight, d)
+        assert drawn.min() >= 1 and drawn.max() <= n
+    # taking customers out and reseating them one by one ends in the same mean
+    rng, sizes, seen = np.random.default_rng(0), [20.0], []
+    for step in range(40_000):
+        j = rng.choice(len(sizes), p=np.array(sizes) / 20)
+        sizes[j] -= 1
+        sizes = [x for x in sizes if x]
+        p = np.array([*(x - 0.5 for x in sizes), 2.0])
+        j = rng.choice(len(p), p=p / p.sum())
+        sizes = [*sizes, 1.0] if j == len(sizes) else [x + (i == j) for i, x in enumerate(sizes)]
+        seen.append(len(sizes))
+    assert np.mean(seen[2000:]) == pytest.approx(exact_mean(20, 2.0, 0.5), rel=0.03)
+    assert language_model.seat(np.array([0.0, 1.0, 1e6]), np.ones(3), 0.5, key[:3], 0)[:2].tolist() == [0, 1]
+
+
+def test_scores_do_not_depend_on_the_session(spark, messy):
+    """Buckets follow the shuffle partitions, seats do not."""
+    was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in language_model.score(messy).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert found[0] == found[1]
 
 
 # decontamination
