@@ -136,11 +136,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = materialise(rows.select("doc_id").distinct().join(rated, "doc_id"), "rated")
     chosen = materialise(smallest_hashes(chosen, sample, "doc_id"), "chosen")
-    # an id can have many rows: equal texts count once, and of different ones those with the smallest hash
-    rows = rows.join(chosen, "doc_id").withColumn("of_text", F.xxhash64("text"))
-    picked = materialise(rows.select("doc_id", "of_text").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(sample), "picked")
-    rows = rows.join(picked, ["doc_id", "of_text"]).groupBy("doc_id", "of_text").agg(F.first("y").alias("y"), F.first("text").alias("text"))
-    train = with_statistics(rows, "stats").select("doc_id", "y", "stats")
+    # an id can have many rows: equal texts count once, and of different ones those with the smallest hash fill up the sample
+    chosen = materialise(rows.select("doc_id").join(chosen, "doc_id").groupBy("doc_id").agg(F.first("y").alias("y"), F.count("*").alias("rows")), "rows-of-chosen")
+    once = rows.join(chosen.filter("rows = 1"), "doc_id").select("doc_id", "y", "text")
+    left = sample - chosen.filter("rows = 1").count()
+    many = rows.withColumn("of_text", F.xxhash64("text")).join(chosen.filter("rows > 1"), "doc_id")
+    picked = materialise(many.select("doc_id", "of_text").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(left), "picked")
+    many = many.join(picked, ["doc_id", "of_text"]).groupBy("doc_id", "of_text").agg(F.first("y").alias("y"), F.first("text").alias("text"))
+    train = with_statistics(once.unionByName(many.select("doc_id", "y", "text")), "stats").select("doc_id", "y", "stats")
     # the sample is small: one sorted partition makes the draws of the forest, and so the model, the same in every run
     train = materialise(train, "training").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "y", "stats")
     n, good = train.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
