@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tasteframe import constants as C
 from tasteframe.functions import scalars as S
+from tasteframe.scratch import materialise
 
 
 def project_user_item_rating(ratings: DataFrame) -> DataFrame:
@@ -108,7 +109,8 @@ def active_library(library: DataFrame) -> DataFrame:
 
 
 def extreme_ratings(ratings: DataFrame) -> DataFrame:
-    """Rows that hold the largest or the smallest rating."""
+    """Rows that hold the largest or the smallest rating. Eager: the ratings are written once."""
+    ratings = materialise(ratings.select(C.USER, C.ITEM, C.RATING), "extremes")
     hi, lo = ratings.agg(F.max(C.RATING)).scalar(), ratings.agg(F.min(C.RATING)).scalar()
     kind = F.when(F.col(C.RATING) == hi, "max").when(F.col(C.RATING) == lo, "min")
     return ratings.select(C.USER, C.ITEM, C.RATING, kind.alias("extreme")).where(F.col("extreme").isNotNull())

@@ -5,6 +5,7 @@ Output of every model: userId, movieId, est, actual_k, was_impossible.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,17 @@ def _target_axis(targets: DataFrame, axis: str) -> DataFrame:
 
 
 def neighbour_lookup(
-    base: DataFrame, targets: DataFrame, sims: DataFrame, *, hot: int = HOT, chunk: int = CHUNK
+    base: DataFrame, targets: DataFrame, sims: DataFrame, *, hot: int = HOT, chunk: int = CHUNK, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """(x, y, v, sim, r): for a target (x, y) the others v that rated y and are similar to x.
+    """(x, y, v, sim, r): for a target (x, y) the others v that rated y and are similar to x, with the columns ``carry`` of ``sims``.
 
     Targets on ordinary y go through the raters of y. Targets on hot y start from the neighbours of x
     and look up their rating of y, so the raters of a hot y are never paired with its targets.
     Eager in one small step: it looks whether any y is hot.
     """
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
-    s = sims.select(F.col("u").alias("x"), "v", "sim")
-    cols = ["x", "y", "v", "sim", "r"]
+    s = sims.select(F.col("u").alias("x"), "v", "sim", *carry)
+    cols = ["x", "y", "v", "sim", "r", *carry]
 
     def via_raters(some: DataFrame) -> DataFrame:
         pairs = salted_pairs(some.select("x", "y", F.lit(0.0).alias("r")), base, sizes, chunk=chunk)
@@ -214,16 +215,8 @@ def _itr_hot_targets(want: DataFrame, base: DataFrame, user_stats: DataFrame, do
     return both.groupBy("x", "y", "v").agg(F.max("sim").alias("sim"), F.max("dev").alias("dev"))
 
 
-def user_knn_itr(
-    train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: int = 3, clip: bool = True, hot: int = HOT, chunk: int = CHUNK
-) -> DataFrame:
-    """ITR neighbours among all raters of the target item, with or without common items.
-
-    Below ``min_k`` neighbours, and for unknown items, the user mean; unknown users take the global mean.
-    Dot products over ordinary items come from a join, those over hot items (more than ``hot`` ratings)
-    from a small map per user, so a hot item never pairs its raters. Eager in small steps.
-    """
-    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "itr-train")
+def itr_candidates(train: DataFrame, targets: DataFrame, *, k: int, hot: int = HOT, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(x, y, v, sim, dev) that hold the k best neighbours of every target, the targets (x, y), and the users' means (x, mean). Eager."""
     base = along(train, "user")
     want = materialise(_target_axis(targets, "user"), "itr-targets")
     sizes = base.groupBy("y").agg(F.count("*").alias("n_y"))
@@ -252,8 +245,21 @@ def user_knn_itr(
     if has_hot:
         many = want.join(popular.select("y"), "y", "left_semi")
         found = found.unionByName(_itr_hot_targets(many, base, user_stats, dots, popular, k, chunk))
-    scored = want.join(_top_k_estimate(found.where(F.col("sim") > 0), k), ["x", "y"], "left").join(
-        user_stats.select("x", F.col("mu").alias("mean")), "x", "left")
+    return found.where(F.col("sim") > 0), want, user_stats.select("x", F.col("mu").alias("mean"))
+
+
+def user_knn_itr(
+    train: DataFrame, targets: DataFrame, *, k: int = 40, min_k: int = 3, clip: bool = True, hot: int = HOT, chunk: int = CHUNK
+) -> DataFrame:
+    """ITR neighbours among all raters of the target item, with or without common items.
+
+    Below ``min_k`` neighbours, and for unknown items, the user mean; unknown users take the global mean.
+    Dot products over ordinary items come from a join, those over hot items (more than ``hot`` ratings)
+    from a small map per user, so a hot item never pairs its raters. Eager in small steps.
+    """
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "itr-train")
+    found, want, means = itr_candidates(train, targets, k=k, hot=hot, chunk=chunk)
+    scored = want.join(_top_k_estimate(found, k), ["x", "y"], "left").join(means, "x", "left")
     enough = F.coalesce(F.col("actual_k") >= min_k, F.lit(False))
     est = F.col("mean") + F.when(enough, F.coalesce(F.col("num") / F.nullif(F.col("den"), F.lit(0.0)), F.lit(0.0))).otherwise(0.0)
     return _emit(scored, "user", est, F.col("mean").isNull(), stats.global_mean_value(train), clip=clip)
@@ -334,24 +340,74 @@ def content_knn(
     return _emit(scored, "user", est, impossible, prior, clip=clip)
 
 
-def sweep(train: DataFrame, targets: DataFrame, model, name: str, values, **fixed) -> DataFrame:
-    """The same model over several values of one parameter, with the value as a column."""
-    out = None
-    for v in values:
-        p = model(train, targets, **{name: v}, **fixed).withColumn(name, F.lit(v))
-        out = p if out is None else out.unionByName(p)
-    return out
+Setting = dict[str, int]
+
+
+def knn_grid(
+    train: DataFrame, targets: DataFrame, settings: Sequence[Setting], *, axis: str = "user", sim: str = "cosine", centred: bool = True,
+    clip: bool = True, hot: int = HOT, chunk: int = CHUNK,
+) -> DataFrame:
+    """``knn_predict`` for many settings (k, min_k, min_support; default 1) from one search: its rows, with the settings as columns.
+
+    Neighbours carry their support. For each support that is asked for they are ranked once, and the sums up to every k are
+    taken in one aggregate; ``min_k`` only chooses between them and the mean. With sim "itr" (no support) as ``user_knn_itr``.
+    The ratings are written once. Eager.
+    """
+    settings = [dict(s) for s in dict.fromkeys(tuple(sorted(({"min_k": 1, "min_support": 1} | s).items())) for s in settings)]
+    supports, cuts = sorted({s["min_support"] for s in settings}), sorted({(s["k"], s["min_support"]) for s in settings})
+    most = max(k for k, _ in cuts)
+    train = materialise(train.select(C.USER, C.ITEM, C.RATING), "grid-train")
+    base = along(train, axis)
+    if sim == "itr":
+        if axis != "user" or supports != [1]:
+            raise ValueError("itr has no support and compares users")
+        found, want, means = itr_candidates(train, targets, k=most, hot=hot, chunk=chunk)
+        found = found.withColumn("support", F.lit(1))
+    else:
+        want = materialise(_target_axis(targets, axis), "grid-targets")
+        sims = SIMILARITIES[sim](train, axis=axis, min_support=supports[0], left=want, hot=hot, chunk=chunk).where(F.col("sim") > 0)
+        found = neighbour_lookup(base, want, sims, hot=hot, chunk=chunk, carry=["support"])
+        means = base.groupBy("x").agg(F.avg("r").alias("mean"))
+        if centred:
+            found = found.join(means.select(F.col("x").alias("v"), F.col("mean").alias("mv")), "v").withColumn("dev", F.col("r") - F.col("mv"))
+        else:
+            found = found.withColumn("dev", F.col("r"))
+    each = F.explode(F.filter(F.array(*map(F.lit, supports)), lambda s: s <= F.col("support")))
+    ranked = found.withColumn("at_least", each)
+    ranked = ranked.withColumn("rank", F.row_number().over(W.partitionBy("x", "y", "at_least").orderBy(F.col("sim").desc(), "v"))).where(F.col("rank") <= most)
+
+    def upto(k: int, support: int, value: Column) -> Column:
+        return F.sum(F.when((F.col("rank") <= k) & (F.col("at_least") == support), value))
+
+    sums = ranked.groupBy("x", "y").agg(*[
+        F.struct(upto(k, s, F.col("sim") * F.col("dev")).alias("num"), upto(k, s, F.col("sim")).alias("den"), F.coalesce(upto(k, s, F.lit(1)), F.lit(0)).alias("n")).alias(f"k{k}s{s}")
+        for k, s in cuts])
+    known_y = base.select("y", F.lit(True).alias("known_y")).distinct()
+    scored = want.join(sums, ["x", "y"], "left").join(means, "x", "left").join(known_y, "y", "left")
+    cells = F.array(*[
+        F.struct(*[F.lit(int(s[c])).alias(c) for c in ("k", "min_k", "min_support")], F.col(f"k{s['k']}s{s['min_support']}").alias("sums")) for s in settings])
+    rows = scored.select("x", "y", "mean", "known_y", F.explode(cells).alias("c")).select("x", "y", "mean", "known_y", "c.k", "c.min_k", "c.min_support", "c.sums.*")
+    ratio = F.col("num") / F.nullif(F.col("den"), F.lit(0.0))
+    enough = F.coalesce(F.col("n") >= F.col("min_k"), F.lit(False))
+    unknown = F.col("mean").isNull() if sim == "itr" else F.col("mean").isNull() | F.col("known_y").isNull()
+    if centred:
+        est, impossible = F.col("mean") + F.when(enough, F.coalesce(ratio, F.lit(0.0))).otherwise(0.0), unknown
+    else:
+        est, impossible = ratio, unknown | ~enough
+    value = F.when(impossible, stats.global_mean_value(train)).otherwise(est)
+    x, y = (C.USER, C.ITEM) if axis == "user" else (C.ITEM, C.USER)
+    return rows.select(
+        F.col("x").alias(x), F.col("y").alias(y), "k", "min_k", "min_support", (S.clip(value) if clip else value).alias("est"),
+        F.when(impossible, 0).otherwise(F.coalesce("n", F.lit(0))).cast("int").alias("actual_k"), impossible.alias("was_impossible"))
 
 
-def sweep_min_k(train: DataFrame, targets: DataFrame, values, *, axis="user", sim="msd", k=3, min_support=1, clip=True, **kw) -> DataFrame:
-    """One neighbour search for all values of ``min_k``: only the fallback rule differs."""
-    full = knn_predict(train, targets, axis=axis, sim=sim, k=k, min_k=1, min_support=min_support, clip=clip, **kw)
-    means = train.groupBy(C.USER if axis == "user" else C.ITEM).agg(F.avg(C.RATING).alias("mean"))
-    key = C.USER if axis == "user" else C.ITEM
-    rows = full.join(means, key, "left").withColumn("min_k", F.explode(F.array(*[F.lit(int(v)) for v in values])))
-    fallback = F.when(F.col("was_impossible"), F.col("est")).when(F.col("actual_k") >= F.col("min_k"), F.col("est")).otherwise(F.col("mean"))
-    return rows.select(C.USER, C.ITEM, fallback.alias("est"), "actual_k", "was_impossible", "min_k")
+def sweep_min_k(train: DataFrame, targets: DataFrame, values, *, k: int = 3, min_support: int = 1, sim: str = "msd", **kw) -> DataFrame:
+    """``knn_predict`` for all values of ``min_k``, from one search."""
+    grid = knn_grid(train, targets, [{"k": k, "min_k": int(v), "min_support": min_support} for v in values], sim=sim, **kw)
+    return grid.select(C.USER, C.ITEM, "est", "actual_k", "was_impossible", "min_k")
 
 
-def sweep_min_support(train: DataFrame, targets: DataFrame, values, **kw) -> DataFrame:
-    return sweep(train, targets, knn_predict, "min_support", values, **kw)
+def sweep_min_support(train: DataFrame, targets: DataFrame, values, *, k: int = 40, min_k: int = 1, **kw) -> DataFrame:
+    """``knn_predict`` for all values of ``min_support``, from one search."""
+    grid = knn_grid(train, targets, [{"k": k, "min_k": min_k, "min_support": int(v)} for v in values], **kw)
+    return grid.select(C.USER, C.ITEM, "est", "actual_k", "was_impossible", "min_support")

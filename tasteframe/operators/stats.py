@@ -97,8 +97,10 @@ def popular_library(ratings: DataFrame, items: DataFrame, n: int = C.LIBRARY_TEM
 def dataset_summary(ratings: DataFrame) -> DataFrame:
     """Counts of ratings, users and items, and the rating values in order.
 
-    Users and items are counted from their own distinct lists, each partially aggregated first.
+    Users and items are counted from their own distinct lists, each partially aggregated first. Eager: the ratings are written
+    once, whatever they are derived from, and read per list.
     """
+    ratings = materialise(ratings.select(C.USER, C.ITEM, C.RATING), "summary")
     users = ratings.select(C.USER).distinct().agg(F.count("*")).scalar()
     items = ratings.select(C.ITEM).distinct().agg(F.count("*")).scalar()
     levels = F.array_join(F.transform(F.array_sort(F.collect_set(C.RATING)), lambda x: F.format_number(x, 2)), ",")
@@ -293,7 +295,8 @@ def implicit_ratings(library: DataFrame, *, user_id: int = C.IMPLICIT_USER) -> D
 
 
 def user_profile(ratings: DataFrame, items: DataFrame, *, n_genres: int = 3, n_items: int = 5) -> DataFrame:
-    """Rating count, mean, favourite genres and best rated titles per user."""
+    """Rating count, mean, favourite genres and best rated titles per user. Eager: the ratings are written once."""
+    ratings = materialise(ratings.select(C.USER, C.ITEM, C.RATING), "profile")
     rated = ratings.join(items, C.ITEM, "left")
     base = ratings.groupBy(C.USER).agg(
         F.count("*").alias("n_ratings"), S.fixed_round(F.avg(C.RATING), 2).alias("avg_rating")

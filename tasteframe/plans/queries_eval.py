@@ -8,7 +8,7 @@ from tasteframe import constants as C
 from tasteframe.functions import scalars as S
 from tasteframe.operators import baselines as B
 from tasteframe.operators import evaluate as E
-from tasteframe.operators import hybrid, protocols, ranking, stats
+from tasteframe.operators import blocks, hybrid, protocols, ranking, stats
 from tasteframe.operators import neighbours as N
 from tasteframe.plans.queries_models import CLIP, MSD, content_knn_sql, itr_knn_sql, knn_sql, sims_of, v1_arrays
 from tasteframe.plans.registry import dec, query, relation
@@ -188,22 +188,35 @@ def _(t):
     return E.novelty_log2(top, stats.item_popularity(t.ratings())).withColumn("novelty", R("novelty", 6))
 
 
+# The ten best items by the bias model that a user has not rated in the train part.
+relation("unseen10", f"""
+    SELECT userId, movieId, rank FROM (
+      SELECT uid AS userId, mid AS movieId, row_number() OVER (PARTITION BY uid ORDER BY floor({CLIP.format('g + bu + bi')} * 1e9 + 0.5) / 1e9 DESC, mid) AS rank
+      FROM bias_u JOIN bias_i ON true, train_gm WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.userId = uid AND s.movieId = mid)) x WHERE rank <= 10""")
+
+
+def unseen_lists(t):
+    train = materialise(t.train().select(C.USER, C.ITEM, C.RATING), "train")
+    users, items = train.select(C.USER).distinct(), train.select(C.ITEM).distinct()
+    return blocks.best_unseen(users, items, train, [blocks.bias_source(train, users, items)])
+
+
 @query("novelty_rank", f"""
     SELECT {dec('avg(s)', 6)} AS novelty_rank FROM (
-      SELECT t.userId, sum(coalesce(k.rank, (SELECT count(*) FROM popular))) AS s FROM top10 t LEFT JOIN popular k ON t.movieId = k.movieId GROUP BY t.userId) x""")
+      SELECT t.userId, sum(coalesce(k.rank, (SELECT count(*) FROM popular))) AS s FROM unseen10 t LEFT JOIN popular k ON t.movieId = k.movieId GROUP BY t.userId) x""")
 def _(t):
     ranks = ranking.popularity_rank(t.ratings())
-    return E.novelty_rank(ranking.top_n_per_user(preds(t)), ranks).withColumn("novelty_rank", R("novelty_rank", 6))
+    return E.novelty_rank(unseen_lists(t), ranks).withColumn("novelty_rank", R("novelty_rank", 6))
 
 
-@query("recs_vs_holdout", "SELECT t.userId, t.movieId, CASE WHEN r.rank IS NULL THEN 0 ELSE 1 END AS hit FROM test t LEFT JOIN top10 r ON t.userId = r.userId AND t.movieId = r.movieId")
+@query("recs_vs_holdout", "SELECT t.userId, t.movieId, CASE WHEN r.rank IS NULL THEN 0 ELSE 1 END AS hit FROM test t LEFT JOIN unseen10 r ON t.userId = r.userId AND t.movieId = r.movieId")
 def _(t):
-    return E.recs_vs_holdout(ranking.top_n_per_user(preds(t)), keys(t))
+    return E.recs_vs_holdout(unseen_lists(t), keys(t))
 
 
-@query("hit_rate", f"SELECT {dec('count(r.rank) / CAST(count(*) AS DOUBLE)', 6)} AS hit_rate FROM test t LEFT JOIN top10 r ON t.userId = r.userId AND t.movieId = r.movieId")
+@query("hit_rate", f"SELECT {dec('count(r.rank) / CAST(count(*) AS DOUBLE)', 6)} AS hit_rate FROM test t LEFT JOIN unseen10 r ON t.userId = r.userId AND t.movieId = r.movieId")
 def _(t):
-    return E.hit_rate(ranking.top_n_per_user(preds(t)), keys(t)).withColumn("hit_rate", R("hit_rate", 6))
+    return E.hit_rate(unseen_lists(t), keys(t)).withColumn("hit_rate", R("hit_rate", 6))
 
 
 @query("compare_predictions", f"""

@@ -234,12 +234,12 @@ def _(t):
     return FT.theme_features(t.genome_scores(), t.tag_themes()).withColumn("value", R("value", 6))
 
 
-_TOPVAR = "SELECT tagId, var_samp(relevance) AS variance FROM genome GROUP BY tagId ORDER BY variance DESC, tagId LIMIT 20"
+_TOPVAR = "SELECT tagId, var_samp(relevance) AS variance FROM genome GROUP BY tagId ORDER BY variance DESC, tagId LIMIT 200"
 
 
 @query("top_variance_tags", f"SELECT tagId, {dec('variance', 6)} AS variance FROM ({_TOPVAR}) x")
 def _(t):
-    return FT.top_variance_tags(t.genome_scores(), 20).withColumn("variance", R("variance", 6))
+    return FT.top_variance_tags(t.genome_scores()).withColumn("variance", R("variance", 6))
 
 
 @query("feat_genome_themes", BLOCK + f"""(
@@ -247,7 +247,7 @@ def _(t):
     UNION ALL SELECT movieId, concat('raw_tag_', CAST(tagId AS VARCHAR)), relevance FROM known_genome WHERE tagId IN (SELECT tagId FROM ({_TOPVAR}) v)) x""")
 def _(t):
     themes = FT.theme_features(t.genome_scores(), t.tag_themes())
-    return rounded(FT.feat_genome_themes(t.genome_scores(), themes, t.items(), k=20))
+    return rounded(FT.feat_genome_themes(t.genome_scores(), themes, t.items()))
 
 
 @query("feat_visual", BLOCK + "b_visual")

@@ -16,8 +16,8 @@ from tasteframe.plans import jobs
 from tasteframe.plans.queries_basic import GROUP
 from tasteframe.plans.queries_eval import keys
 from tasteframe.plans.queries_features import dense_sql, v1_block, v3_block, v5_arrays
-from tasteframe.plans.queries_models import CLIP, itr_knn_sql, v1_arrays
-from tasteframe.plans.registry import dec, query, relation
+from tasteframe.plans.queries_models import CLIP, COS, PEARSON, itr_knn_sql, knn_sql, sims_of, v1_arrays
+from tasteframe.plans.registry import dec, query, relation, snap
 from tasteframe.scratch import fresh_path, materialise
 from tasteframe.sources.sinks import union_ratings
 from tasteframe.sources.tables import clean_library
@@ -187,6 +187,61 @@ def predictions_of(fit):
     return run
 
 
+def ridge_v3(t, ratings=None):
+    """(models, feature arrays, names): ridge models on all of V3, the content model of the hybrid."""
+    x, names = FT.assemble(v3_block(t), t.items())
+    x = materialise(x, "v3")
+    rows = linear.training_rows(t.train() if ratings is None else ratings, x)
+    return materialise(linear.user_ridge(rows, alpha=C_ALPHA), "ridge-v3"), x, names
+
+
+@query("user_ridge_v3")
+def _(t):
+    return ridge_v3(t)[0]
+
+
+@query("content_predict_v3")
+def _(t):
+    models, x, _names = ridge_v3(t)
+    return linear.content_predict(models, keys(t), x, t.train())
+
+
+@query("coef_importance_v3")
+def _(t):
+    models, _x, names = ridge_v3(t)
+    return linear.coef_importance(models, names)
+
+
+@query("feature_importances_v3")
+def _(t):
+    models, _x, names = ridge_v3(t)
+    return linear.feature_importances(models, names)
+
+
+@query("explain_v3")
+def _(t):
+    """Words, tags, genres, years, and the families of the other features."""
+    models, _x, names = ridge_v3(t)
+    return linear.explain(models, names, t.items(), keys(t))
+
+
+@query("recommend_new_user_v3")
+def _(t):
+    cols = [C.USER, C.ITEM, C.RATING]
+    both = union_ratings(t.train().select(*cols), stats.implicit_ratings(clean_library(t.library())).select(*cols))
+    models, x, _names = ridge_v3(t, both)
+    return RC.recommend_new_user(models, x, both, t.items(), named(t))
+
+
+@query("ratings_with_features_v3")
+def _(t):
+    from tasteframe.operators.catalogue import ratings_with_features
+
+    return ratings_with_features(t.train(), FT.assemble(v3_block(t), t.items())[0])
+
+
+for _name, _fit in (("user_linear", linear.user_linear), ("user_lasso", linear.user_lasso), ("user_elasticnet", linear.user_elasticnet), ("user_ridge", linear.user_ridge)):
+    query(f"{_name}_all_features")(predictions_of(_fit))
 query("user_elasticnet_tiered")(predictions_of(linear.user_elasticnet_tiered))
 query("user_linear_svr")(predictions_of(linear.user_linear_svr))
 query("user_linear_svr_tiered")(predictions_of(linear.user_linear_svr_tiered))
@@ -473,17 +528,28 @@ def _(t):
 
 # --- jobs ------------------------------------------------------------------------------------------------
 
-@query("config_grid", f"""
-    SELECT 'user_cosine_k' || k || '_min_k5_min_support3' AS model, count(*) AS n, sum(0) AS missing FROM test, (SELECT unnest([20, 80]) AS k) ks GROUP BY k""")
-def _(t):
-    families = {"user_cosine": N.user_knn_cosine}
-    grid = {"user_cosine": [{"k": k, "min_k": 5, "min_support": 3} for k in (20, 80)]}
-    out = None
-    for name, model in jobs.config_models(families, grid).items():
-        row = model(t.train(), keys(t)).agg(F.count("*").alias("n"), F.count_if(F.col("est").isNull()).alias("missing"))
-        row = row.select(F.lit(name).alias("model"), "n", "missing")
-        out = row if out is None else out.unionByName(row)
-    return out
+def grid_sql() -> str:
+    """Every setting of the neighbourhood families by the twin of its own model."""
+    exprs = {"user_cosine": (COS, "user"), "user_pearson": (snap(PEARSON), "user"), "item_cosine": (COS, "item")}
+    parts = []
+    for family, sets in jobs.config_grid().items():
+        for setting in sets if family in jobs.GRID_FAMILIES else []:
+            full = {"min_k": 1, "min_support": 1} | setting
+            if family == "user_itr":
+                model = itr_knn_sql("test", full["k"], full["min_k"])
+            else:
+                expr, axis = exprs[family]
+                model = knn_sql(sims_of(expr, full["min_support"], axis), axis=axis, k=full["k"], min_k=full["min_k"])
+            parts.append(f"""SELECT '{jobs.setting_name(family, setting)}' AS model, count(*) AS n, count(CASE WHEN was_impossible THEN 1 END) AS impossible,
+                {dec('sqrt(avg((q.rating - p.est) * (q.rating - p.est)))', 4)} AS rmse
+                FROM ({model}) p JOIN (SELECT userId AS tu, movieId AS tm, rating FROM test) q ON p.userId = q.tu AND p.movieId = q.tm""")
+    return " UNION ALL ".join(parts)
+
+
+@query("config_grid", grid_sql())
+def _(t):
+    """The whole grid of the neighbourhood families, one search for each."""
+    return jobs.grid_report(t.train(), t.test())
 
 
 @query("train_all")
