@@ -30,7 +30,8 @@ THETA, THETA_ROOT = 1.0, 10.0
 EXACT = 1024
 #: Code of the end of a text, and smoothing of the base score.
 END, ADD = 0x1E4D0F7E87, 0.1
-CONTEXTS = 256
+#: Context restaurants: one for the start of a text, the others shared out to the words before by their codes.
+CONTEXTS = 1 << 16
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -38,21 +39,36 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == 0
 
 
-def tokens_of(text: str | None, codes: WordCodes) -> tuple[np.ndarray, np.ndarray]:
-    """(codes of the words and one end, context of each): the context is the last byte of the word before, 0 at the start."""
-    words = blank_words(text)
-    context = np.fromiter((w[-1] for w in words), np.uint8, len(words))
-    return np.append(codes.of(words), U64(END)), np.concatenate([np.zeros(1, np.uint8), context])
+def tokens_of(text: str | None, codes: WordCodes) -> np.ndarray:
+    """Codes of the words and one end."""
+    return np.append(codes.of(blank_words(text)), U64(END))
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """Numbers below 2^32 as four byte planes, compressed: small numbers leave planes of zeros."""
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+def contexts_after(codes: np.ndarray) -> np.ndarray:
+    """The restaurant of the words that follow each of these."""
+    return (U64(1) + codes % U64(CONTEXTS - 1)).astype(np.uint16)
 
 
-def _unpack(x: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def context_of_each(after: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of the tokens of texts of these lengths, one behind the other: what stands before decides; 0 at the start of a text."""
+    out = np.concatenate([np.zeros(1, np.uint16), after[:-1]])
+    out[np.cumsum(lengths)[:-1]] = 0
+    return out
+
+
+def pairs_of(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct pairs of word number and context, in that order, as one number each; the place of each token's pair)."""
+    return np.unique(words * CONTEXTS + contexts, return_inverse=True)
+
+
+def _pack(x: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of ``width`` bytes as byte planes, compressed: small numbers leave planes of zeros."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes())
+
+
+def _unpack(x: bytes, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
 
 
 _CODED = (
@@ -69,31 +85,33 @@ def _row(**columns) -> pa.RecordBatch:
 
 def _coded(shift: int):
     """Pieces of the corpus, as rows of three kinds: the distinct words of a bucket (ranges of word codes) with training counts per
-    context, the order of the piece's pairs by frequency, and blocks of documents as ranks in that order."""
+    context, the piece's words from frequent to rare, and blocks of documents as ranks among those. Pairs are not kept by
+    token: the words give them again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, part, number = WordCodes(), TaskContext.get().partitionId(), 0
         ids: list = []
-        made: list[tuple[np.ndarray, np.ndarray]] = []
+        made: list[np.ndarray] = []
         size = 0
 
         def piece() -> Iterator[pa.RecordBatch]:
             name = (part << 24) + number
-            words, inverse = np.unique(np.concatenate([m[0] for m in made]), return_inverse=True)
-            pairs, inverse, n = np.unique(inverse * CONTEXTS + np.concatenate([m[1] for m in made]), return_inverse=True, return_counts=True)
-            order = np.argsort(-n, kind="stable")  # frequent pairs get small ranks
-            rank = np.empty(len(pairs), np.uint32)
-            rank[order] = np.arange(len(pairs))
-            lengths = np.array([len(m[0]) for m in made])
+            words, inverse, n = np.unique(np.concatenate(made), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")  # frequent words get small ranks
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words))
+            lengths = np.array([len(m) for m in made])
             out = [held_out(i) for i in ids]
-            train = np.bincount(inverse[np.repeat(~np.array(out), lengths)], minlength=len(pairs)).astype(np.uint32)
+            after = contexts_after(words)
+            pairs, at = pairs_of(inverse, context_of_each(after[inverse], lengths))
+            train = np.bincount(at[np.repeat(~np.array(out), lengths)], minlength=len(pairs))
             ends = np.searchsorted(pairs // CONTEXTS, np.arange(len(words)), "right")
-            contexts, sizes = (pairs % CONTEXTS).astype(np.uint8), np.diff(ends, prepend=0).astype(np.uint16)
+            contexts, sizes = (pairs % CONTEXTS).astype(np.uint16), np.diff(ends, prepend=0)
             buckets, first = np.unique(words >> U64(shift), return_index=True)
             for bucket, a, z in zip(buckets.tolist(), first, [*first[1:], len(words)], strict=True):
                 p, q = (ends[a - 1] if a else 0), ends[z - 1]
-                yield _row(piece=name, bucket=bucket, words=words[a:z].tobytes(), sizes=sizes[a:z].tobytes(), contexts=contexts[p:q].tobytes(), counts=train[p:q].tobytes())
-            yield _row(piece=name, body=_pack(order))
+                yield _row(piece=name, bucket=bucket, words=words[a:z].tobytes(), sizes=_pack(sizes[a:z]), contexts=contexts[p:q].tobytes(), counts=_pack(train[p:q]))
+            yield _row(piece=name, words=after[order].tobytes(), body=_pack(order))
             ranks, stops = rank[inverse], np.concatenate([[0], np.cumsum(lengths)])
             for a in range(0, len(ids), DOCS_A_ROW):
                 z = min(a + DOCS_A_ROW, len(ids))
@@ -103,7 +121,7 @@ def _coded(shift: int):
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids.append(doc_id)
                 made.append(tokens_of(text, codes))
-                size += len(made[-1][0])
+                size += len(made[-1])
                 if size >= PIECE:
                     yield from piece()
                     ids, made, size, number = [], [], 0, number + 1
@@ -113,23 +131,25 @@ def _coded(shift: int):
     return run
 
 
-_MODEL = "bucket int, words binary, sizes binary, contexts binary, counts binary, pieces array<long>, lengths array<long>, index binary"
+_MODEL = "bucket int, words binary, sizes binary, contexts binary, counts binary, pieces array<long>, index array<binary>"
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per bucket: its words with counts summed by context, and for each piece where its pairs stand among them."""
     names = [c.split()[0] for c in _MODEL.split(", ")]
-    kinds = [pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+    kinds = [pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.binary())]
 
     def merge(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
-        words, sizes, contexts, counts = (np.concatenate([np.frombuffer(r[i], k) for r in rows]) for i, k in ((1, np.uint64), (2, np.uint16), (3, np.uint8), (4, np.uint32)))
+        words, contexts = (np.concatenate([np.frombuffer(r[i], k) for r in rows]) for i, k in ((1, np.uint64), (3, np.uint16)))
+        sizes, counts = (np.concatenate([_unpack(r[i]) for r in rows]) for i in (2, 4))
         fresh, at = np.unique(words, return_inverse=True)
-        pairs, where = np.unique(np.repeat(at, sizes) * CONTEXTS + contexts, return_inverse=True)
+        pairs, where = pairs_of(np.repeat(at, sizes), contexts)
         sums = np.zeros(len(pairs), np.uint64)
         np.add.at(sums, where, counts.astype(np.uint64))
-        new_sizes = np.bincount(pairs // CONTEXTS, minlength=len(fresh)).astype(np.uint16)
-        values = [bucket, fresh.tobytes(), new_sizes.tobytes(), (pairs % CONTEXTS).astype(np.uint8).tobytes(), sums.tobytes(),
-                  [r[0] for r in rows], [len(r[3]) for r in rows], where.astype(np.uint32).tobytes()]
+        new_sizes = np.bincount(pairs // CONTEXTS, minlength=len(fresh))
+        stops = np.cumsum([0, *(len(r[3]) // 2 for r in rows)])  # in a piece, pairs ascend: gaps are small numbers
+        index = [_pack(np.diff(where[a:z], prepend=0)) for a, z in zip(stops[:-1], stops[1:], strict=True)]
+        values = [bucket, fresh.tobytes(), _pack(new_sizes), (pairs % CONTEXTS).astype(np.uint16).tobytes(), _pack(sums, 8), [r[0] for r in rows], index]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
 
     now, held = None, []
@@ -153,9 +173,9 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
         for i in range(b.num_rows):
             one = {n: b.column(k)[i].as_py() for k, n in enumerate(b.schema.names)}
-            sizes = np.frombuffer(one.pop("sizes"), np.uint16)
+            sizes = _unpack(one.pop("sizes"))
             words = np.frombuffer(one.pop("words"), np.uint64)
-            yield one, words, np.repeat(np.arange(len(words)), sizes), np.frombuffer(one.pop("contexts"), np.uint8), np.frombuffer(one.pop("counts"), np.uint64)
+            yield one, words, np.repeat(np.arange(len(words)), sizes), np.frombuffer(one.pop("contexts"), np.uint16), _unpack(one.pop("counts"), 8)
 
 
 @dataclass(frozen=True)
@@ -287,9 +307,9 @@ def _summed(df: DataFrame, fn, names: list[str]) -> dict[str, np.ndarray]:
     schema = "context long, " + ", ".join(f"{n} double" for n in names)
     out = {n: np.zeros(CONTEXTS) for n in names}
     columns = df.select("words", "sizes", "contexts", "counts")
-    for r in columns.mapInArrow(run, schema).groupBy("context").agg(*[F.sum(n).alias(n) for n in names]).collect():
-        for n in names:
-            out[n][r["context"]] = r[n]
+    sums = columns.mapInArrow(run, schema).filter(" or ".join(f"{n} <> 0" for n in names)).groupBy("context").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    for n in names:
+        out[n][sums.column("context").to_numpy()] = sums.column(n).to_numpy()
     return out
 
 
@@ -344,17 +364,19 @@ def predictive(words, row, context, n, totals: Totals) -> np.ndarray:
 
 
 def _probabilities(totals: Totals):
-    """For every piece and bucket, log10 probabilities and training counts of its pairs in order."""
+    """For every piece and bucket, log10 probabilities of its pairs and training counts of its words, both in order."""
     names = ["piece", "bucket", "logp", "counts"]
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one, words, row, context, n in _buckets(batches):
             logp = np.log10(predictive(words, row, context, n, totals)).astype(np.float32)
-            count = np.bincount(row, n.astype(np.float64), len(words)).astype(np.uint64)[row]
-            index, stops = np.frombuffer(one["index"], np.uint32), np.concatenate([[0], np.cumsum(one["lengths"])])
-            cells = [(p, one["bucket"], logp[i].tobytes(), count[i].tobytes()) for p, a, z in zip(one["pieces"], stops[:-1], stops[1:], strict=True) for i in [index[a:z]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*cells, strict=True), kinds, strict=True)], names)
+            count = np.bincount(row, n.astype(np.float64), len(words)).astype(np.uint64)
+            for piece, gaps in zip(one["pieces"], one["index"], strict=True):
+                i = np.cumsum(_unpack(gaps), dtype=np.int64)
+                seen = row[i]
+                cells = [piece, one["bucket"], _pack(logp[i].view("<u4")), _pack(count[seen[np.diff(seen, prepend=-1) > 0]], 8)]
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, kinds, strict=True)], names)
 
     return run
 
@@ -367,23 +389,21 @@ def _scored(totals: Totals):
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         answers = answers.sort_by("bucket")
-        logp = np.concatenate([np.frombuffer(x, np.float32) for x in answers.column("logp").to_pylist()]).astype(np.float64)
-        count = np.concatenate([np.frombuffer(x, np.uint64) for x in answers.column("counts").to_pylist()])
-        rows = docs.select(["doc_ids", "held_out", "n_tokens", "body"]).to_pylist()
-        order = next(_unpack(r["body"]) for r in rows if r["doc_ids"] is None)
-        score, count = logp[order], count[order]
+        logp = np.concatenate([_unpack(x).view("<f4") for x in answers.column("logp").to_pylist()]).astype(np.float64)
+        count = np.concatenate([_unpack(x, 8) for x in answers.column("counts").to_pylist()])
+        rows = docs.select(["doc_ids", "held_out", "n_tokens", "words", "body"]).to_pylist()
+        listed = next(r for r in rows if r["doc_ids"] is None)
+        rows = [r for r in rows if r["doc_ids"] is not None]
+        ranks, lengths = np.concatenate([_unpack(r["body"]) for r in rows]), np.concatenate([r["n_tokens"] for r in rows])
+        words = _unpack(listed["body"]).astype(np.int64)[ranks]
+        _, at = pairs_of(words, context_of_each(np.frombuffer(listed["words"], np.uint16)[ranks], lengths))
+        starts = np.cumsum(lengths) - lengths
         base, known = np.log10((count + ADD) / base_all), (count > 0).astype(np.int64)
-        out = []
-        for r in rows:
-            if r["doc_ids"] is None:
-                continue
-            ranks = _unpack(r["body"])
-            starts = np.cumsum([0, *r["n_tokens"][:-1]])
-            out.append(pa.table([
-                pa.array(r["doc_ids"], pa.int64()), pa.array(r["held_out"], pa.bool_()), pa.array(r["n_tokens"], pa.int64()), pa.array(np.add.reduceat(known[ranks], starts)),
-                pa.array([totals.tokens] * len(starts), pa.int64()), pa.array(np.add.reduceat(base[ranks], starts)), pa.array(np.add.reduceat(score[ranks], starts)),
-            ], schema=_RESULT))
-        return pa.concat_tables(out)
+        return pa.table([
+            pa.array([i for r in rows for i in r["doc_ids"]], pa.int64()), pa.array([h for r in rows for h in r["held_out"]], pa.bool_()), pa.array(lengths, pa.int64()),
+            pa.array(np.add.reduceat(known[words], starts)), pa.array([totals.tokens] * len(starts), pa.int64()),
+            pa.array(np.add.reduceat(base[words], starts)), pa.array(np.add.reduceat(logp[at], starts)),
+        ], schema=_RESULT)
 
     return run
 
@@ -394,14 +414,14 @@ def score(docs: DataFrame) -> DataFrame:
     Tokens are lower-cased (A-Z) runs without ASCII white space and one end; null texts are empty, so they have the end only. The model
     learns from documents whose crc32(doc_id as text) modulo FOLDS is not 0 (without id: they train).
 
-    ``base_score`` is the add-0.1 unigram log10 probability, ``score`` that of a hierarchical Pitman-Yor model: a restaurant per last byte
-    of the word before, whose tables are customers of one root restaurant over all words, above a uniform base of the words
-    seen and one unknown. Seats come from Gibbs sampling, the predictive probabilities are averaged over sweeps. ``perplexity`` is
+    ``base_score`` is the add-0.1 unigram log10 probability, ``score`` that of a hierarchical Pitman-Yor model: the word before, or
+    the start of the text, decides the restaurant, whose tables are customers of one root restaurant over all words, above a uniform base
+    of the words seen and one unknown. Words beyond CONTEXTS share context restaurants by their codes, so that sums per context stay bounded. Seats come from Gibbs sampling, the predictive probabilities are averaged over sweeps. ``perplexity`` is
     10 ^ (-score / n_tokens).
 
     The corpus is coded once: pieces of bounded size hold their distinct words with counts, in buckets of word codes, and blocks of
     documents as ranks into them. A bucket gathers the words of all pieces for the model, and probabilities go back to the pieces; what
-    moves is words per piece, not tokens. There are four buckets per shuffle partition. Probabilities go back in single precision.
+    moves is distinct pairs of words per piece, and the words as ranks; the pairs of the tokens follow from the words. There are four buckets per shuffle partition. Probabilities go back in single precision.
     Eager: writes the coded corpus and the model to the shared folder.
     """
     spark = docs.sparkSession
@@ -417,7 +437,7 @@ def score(docs: DataFrame) -> DataFrame:
     model = spark.read.schema(_MODEL).parquet(model_path)
     totals = train(model)
     answers = model.mapInArrow(_probabilities(totals), "piece long, bucket int, logp binary, counts binary")
-    texts = spark.read.schema(_CODED).parquet(path).filter("bucket is null").select("piece", "doc_ids", "held_out", "n_tokens", "body")
+    texts = spark.read.schema(_CODED).parquet(path).filter("bucket is null").select("piece", "doc_ids", "held_out", "n_tokens", "words", "body")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     found = texts.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(_scored(totals), schema)
     return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -353,6 +353,33 @@ def test_seating_is_the_posterior():
     assert language_model.seat(np.array([0.0, 1.0, 1e6]), np.ones(3), 0.5, key[:3], 0)[:2].tolist() == [0, 1]
 
 
+def test_score_is_that_of_word_contexts(messy):
+    """Pairs of neighbouring words counted with dictionaries, one model over all of them, summed up per text."""
+    codes = common.WordCodes()
+    docs = [(r.doc_id, [*map(codes.__getitem__, common.blank_words(r.text)), language_model.END]) for r in messy.collect()]
+
+    def pairs(ws):
+        return [(w, 1 + p % 65535 if p is not None else 0) for p, w in zip([None, *ws[:-1]], ws, strict=True)]
+
+    n = Counter({p: 0 for _, ws in docs for p in pairs(ws)})
+    n.update(p for i, ws in docs if not language_model.held_out(i) for p in pairs(ws))
+    keys = sorted(n)
+    words = sorted({w for w, _ in keys})
+    at = {w: j for j, w in enumerate(words)}
+    model = np.array(words, np.uint64), np.array([at[w] for w, _ in keys]), np.array([c for _, c in keys]), np.array([n[k] for k in keys], np.uint64)
+    first = language_model._first(*model)
+    d, d0 = (language_model._discount(*x) for x in ((first[2].sum(), first[3].sum()), first[4, 1:3]))
+    totals = language_model.Totals(int(first[0].sum()), int(first[4, 0]), first[0], d, d0, (first[1],), (first[4, 0],))
+    for _ in range(language_model.SWEEPS):
+        t = language_model._after(totals)(*model)
+        totals = language_model.Totals(totals.tokens, totals.types, first[0], d, d0, (*totals.tables, t[0]), (*totals.root_tables, t[1, 0]))
+    logp = dict(zip(keys, np.log10(language_model.predictive(*model, totals)), strict=True))
+    want = sorted((str(i), len(ws), sum(logp[p] for p in pairs(ws))) for i, ws in docs)
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in language_model.score(messy).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-5)
+
+
 def test_scores_do_not_depend_on_the_session(spark, messy):
     """Buckets follow the shuffle partitions, seats do not."""
     was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
