@@ -236,7 +236,7 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, key: np.nda
             end = min(len(few), at + max(1, (1 << 20) // int(width[at])))
             end = min(end, int(np.searchsorted(width, 2 * width[at], "right")))
             some, t = few[at:end], np.arange(1, int(width[end - 1]) + 1)
-            p = log_s[customers[some].astype(np.int64)][:, t] + t * np.log(weight[some])[:, None]
+            p = log_s[customers[some].astype(np.int64)[:, None], t] + t * np.log(weight[some])[:, None]
             p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
             tables[some] = 1 + (p < (u[some] * p[:, -1])[:, None]).sum(axis=1)
             at = end
@@ -276,6 +276,9 @@ def sweeps(words: np.ndarray, row: np.ndarray, context: np.ndarray, n: np.ndarra
     n = n.astype(np.float64)
     tables = (n > 0).astype(np.float64)
     served = np.bincount(row, tables, len(words))
+    several = np.flatnonzero(n > 1)  # a single customer sits at one table, whatever the rest does
+    one_each = served - np.bincount(row[several], minlength=len(words))
+    row, context, n = row[several], context[several], n[several]
     root = (served > 0).astype(np.float64)
     with np.errstate(over="ignore"):
         pair_key = mix(words[row] + (context.astype(U64) + U64(1)) * U64(0xD1B54A32D192ED03))
@@ -283,8 +286,10 @@ def sweeps(words: np.ndarray, row: np.ndarray, context: np.ndarray, n: np.ndarra
     for s in range(upto):
         p_root = root_probability(served, root, totals, s)
         weight = (THETA + totals.discount * totals.tables[s][context]) * p_root[row]
-        tables = seat(n, weight, totals.discount, pair_key, s)
-        served = np.bincount(row, tables, len(words))
+        seated = seat(n, weight, totals.discount, pair_key, s)
+        tables = tables.copy()
+        tables[several] = seated
+        served = one_each + np.bincount(row, seated, len(words))
         new = (THETA_ROOT + totals.root_discount * totals.root_tables[s]) / (totals.types + 1)
         root = seat(served, np.full(len(words), new), totals.root_discount, word_key, s)
         yield tables, served, root
