@@ -37,19 +37,31 @@ def errors(predictions: DataFrame) -> DataFrame:
     return predictions.agg(F.sqrt(mse).alias("rmse"), F.avg(F.abs(d)).alias("mae"), mse.alias("mse"))
 
 
-def fcp(predictions: DataFrame, *, mode: str = "sum", buckets: int = 256) -> DataFrame:
+def estimate_ranges(cells: DataFrame, *, buckets: int = 256, large: int = 10_000) -> DataFrame:
+    """``cells`` with ``b``, the range their estimate falls in: ranges ascend, and equal estimates share one.
+
+    Users of more than ``large`` cells get up to ``buckets`` ranges of about equally many of their own cells, cut at
+    approximate quantiles, so estimates that lie close together are spread as well; others get one range.
+    """
+    many = cells.groupBy(C.USER).agg(F.count("*").alias("n")).where(F.col("n") > large).select(C.USER)
+    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = cells.join(many, C.USER, "left_semi").groupBy(C.USER).agg(F.percentile_approx("est", steps, 10 * buckets).alias("cuts"))
+    place = F.size(F.filter("cuts", lambda c: c < F.col("est")))
+    return cells.join(cuts, C.USER, "left").withColumn("b", F.when(F.col("cuts").isNotNull(), place).otherwise(0)).drop("cuts")
+
+
+def fcp(predictions: DataFrame, *, mode: str = "sum", buckets: int = 256, large: int = 10_000) -> DataFrame:
     """Fraction of concordant pairs, counted without listing pairs.
 
     A pair of one user's rows with r_i > r_j is concordant when est_i > est_j, else discordant. Rows
     are counted per (user, rating, est) first. For every rating level below, the number of rows with
-    a smaller estimate is a running sum: over buckets of the estimate, and inside a bucket. A user's
-    rows are therefore spread over (level, bucket) groups.
+    a smaller estimate is a running sum: over ranges of the user's estimates, and inside a range. A large
+    user's rows are therefore spread over (level, range) groups, however close the estimates are.
 
     ``sum`` adds the counts over users; ``mean`` averages each count over the users that have one.
     """
     cells = predictions.groupBy(C.USER, C.RATING, "est").agg(F.count("*").alias("c"))
-    width = (C.RATING_MAX - C.RATING_MIN) / buckets
-    cells = cells.withColumn("b", F.floor((F.col("est") - C.RATING_MIN) / width).cast("int"))
+    cells = estimate_ranges(cells, buckets=buckets, large=large)
     levels = cells.groupBy(C.USER, C.RATING).agg(F.sum("c").alias("n"))
     below = levels.select(C.USER, F.col(C.RATING).alias("level"), F.col("n").alias("n_level"))
     # Every cell asks each lower level of its user; there are as many levels as rating values.

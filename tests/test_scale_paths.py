@@ -98,6 +98,25 @@ def test_global_rank_equals_a_single_sort(skewed):
     assert [r.cumulative_share for r in tail] == pytest.approx(list(share))
 
 
+def test_close_estimates_spread_over_ranges(spark):
+    """A user whose estimates differ in the sixth decimal, and a small one: even ranges, and the count of all pairs."""
+    rng = np.random.default_rng(8)
+    rows = [(1, i, float(rng.integers(1, 6)), 3.5 + float(rng.integers(0, 2500)) * 1e-6) for i in range(3000)]
+    rows += [(2, 1, 4.0, 3.0), (2, 2, 1.0, 2.0), (2, 3, 2.0, -7.0), (2, 4, 5.0, 90.0)]
+    p = spark.createDataFrame(rows, f"{C.USER} long, {C.ITEM} long, {C.RATING} double, est double")
+    cells = p.groupBy(C.USER, C.RATING, "est").agg(F.count("*").alias("c"))
+    sizes = {(r[C.USER], r.b): r.n for r in evaluate.estimate_ranges(cells, buckets=16, large=100).groupBy(C.USER, "b").agg(F.count("*").alias("n")).collect()}
+    of_1 = [n for (u, _), n in sizes.items() if u == 1]
+    assert len(of_1) == 16 and max(of_1) < 2 * sum(of_1) / 16 and sizes[(2, 0)] == 4
+    nc = nd = 0
+    for u in (1, 2):
+        r, e = (np.array([x[j] for x in rows if x[0] == u]) for j in (2, 3))
+        above, better = r[:, None] > r[None, :], e[:, None] > e[None, :]
+        nc, nd = nc + int((above & better).sum()), nd + int((above & ~better).sum())
+    assert evaluate.fcp(p, buckets=16, large=100).first()[0] == pytest.approx(nc / (nc + nd), abs=1e-12)
+    assert evaluate.fcp(p).first()[0] == pytest.approx(nc / (nc + nd), abs=1e-12)
+
+
 def test_fcp_equals_listing_all_pairs(skewed):
     p = skewed.withColumn("est", F.round((F.col(C.ITEM) * 7 + F.col(C.USER)) % 45 / 10 + 0.5, 1))
     nc = nd = 0
@@ -109,7 +128,7 @@ def test_fcp_equals_listing_all_pairs(skewed):
             if ra > rb:
                 nc, nd = nc + (ea > eb), nd + (ea <= eb)
     for buckets in (1, 7, 256):
-        assert evaluate.fcp(p, buckets=buckets).first()[0] == pytest.approx(nc / (nc + nd))
+        assert evaluate.fcp(p, buckets=buckets, large=3).first()[0] == pytest.approx(nc / (nc + nd))
 
 
 @pytest.fixture(scope="module")
