@@ -238,10 +238,14 @@ def top_genre_combinations(items: DataFrame, k: int = 5, *, min_size: int = 1) -
     )
 
 
+def clean_tags(tags: DataFrame) -> DataFrame:
+    """Distinct cleaned tags of the items, a row each."""
+    return tags.select(C.ITEM, S.clean_tag(F.coalesce("tag", F.lit("nan"))).alias("tag")).distinct()
+
+
 def tags_per_item(tags: DataFrame) -> DataFrame:
     """Distinct cleaned tags per item, in order. Copies are removed before tags are gathered."""
-    clean = tags.select(C.ITEM, S.clean_tag(F.coalesce("tag", F.lit("nan"))).alias("tag")).distinct()
-    return clean.groupBy(C.ITEM).agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+    return clean_tags(tags).groupBy(C.ITEM).agg(F.array_sort(F.collect_list("tag")).alias("tags"))
 
 
 def top_tag_combinations(tags: DataFrame, k: int = 5) -> DataFrame:

@@ -52,8 +52,7 @@ def tag_tfidf(tags: DataFrame, items: DataFrame, *, max_features: int = 150, min
 
 def tfidf_tags_analytics(tags: DataFrame, *, min_df: int = 5, max_df: float = 0.5) -> DataFrame:
     """Whole tags (spaces as underscores), each once per item, over tagged items."""
-    per_item = stats.tags_per_item(tags).select(C.ITEM, F.explode("tags").alias("tag"))
-    tokens = tokens_of(per_item.withColumn("tag", S.tag_to_token("tag")), "tag")
+    tokens = tokens_of(stats.clean_tags(tags).withColumn("tag", S.tag_to_token("tag")), "tag")
     return tfidf(tokens, tags.select(C.ITEM), min_df=min_df, max_df=max_df)
 
 

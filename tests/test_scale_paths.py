@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -98,6 +98,19 @@ def test_global_rank_equals_a_single_sort(skewed):
     assert [r.cumulative_share for r in tail] == pytest.approx(list(share))
 
 
+def test_tag_combinations_with_ties_equal_listing(spark):
+    """Ties at every place, tags with bars and with characters on both sides of the bar, a hot item, an item without id."""
+    rng = np.random.default_rng(5)
+    words = ["a", "ab", "a|b", "a|", "b", "~x", "zoo", "é", "b c"]
+    rows = [(i, words[j]) for i in range(120) for j in rng.choice(len(words), rng.integers(1, 4), replace=False)]
+    rows += [(500, f"t{j}") for j in range(3000)] + [(None, "a"), (None, "only here")] + rows[:40]
+    tags = spark.createDataFrame(rows, f"{C.ITEM} long, tag string")
+    counts = Counter("|".join(r.tags) for r in stats.tags_per_item(tags).collect() if len(r.tags) >= 2)
+    for k in (1, 5, 12, 1000):
+        want = sorted(counts.items(), key=lambda c: (-c[1], c[0].encode()))[:k]
+        assert [(r.combination, r.n) for r in stats.top_tag_combinations(tags, k).collect()] == want
+
+
 def test_close_estimates_spread_over_ranges(spark):
     """A user whose estimates differ in the sixth decimal, and a small one: even ranges, and the count of all pairs."""
     rng = np.random.default_rng(8)
