@@ -285,3 +285,18 @@ def test_tiles_of_features_match_a_plain_scaler(spark, items):
     x, names = features.assemble(block, items)
     width = names.count()
     assert all(len(r.features) == width for r in x.collect())
+
+
+def test_chunk_sums_of_many_users_share_a_python_call(spark):
+    """Users above the limit get the models of whole fits, and their chunks are grouped in blocks, not one by one."""
+    rng = np.random.default_rng(8)
+    rows = [(u, i, float(rng.integers(1, 11)) / 2, [float(x) for x in rng.normal(size=2)]) for u in range(40) for i in range(5 + u % 30)]
+    df = spark.createDataFrame(rows, f"{C.USER} long, {C.ITEM} long, {C.RATING} double, features array<double>")
+    whole = {r[C.USER]: r for r in linear.user_ridge(df, alpha=2.0).collect()}
+    cut = linear.user_ridge(df, alpha=2.0, limit=6)
+    got = {r[C.USER]: r for r in cut.collect()}
+    assert set(got) == set(whole) == set(range(40))
+    for u, r in got.items():
+        assert [r.intercept, *r.coef] == pytest.approx([whole[u].intercept, *whole[u].coef])
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan and "FlatMapGroupsInArrow [b#" in plan
