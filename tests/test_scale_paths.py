@@ -213,6 +213,40 @@ def test_svr_is_near_the_best_loss():
         assert best <= low * 1.001 + 1e-6
 
 
+def test_svr_side_by_side_is_that_of_each():
+    rng = np.random.default_rng(2)
+    sizes = [*range(1, 70), 150]
+    xs = [rng.random((n, 5)).round(int(n) % 3) for n in sizes]
+    ys = [rng.integers(1, 11, n) / 2 for n in sizes]
+    for x, y, w in zip(xs, ys, linear.solve_svr_many(xs, ys, 0.5, 0.25)):
+        assert w == pytest.approx(linear.solve_svr(x, y, 0.5, 0.25), abs=1e-6)
+    assert linear.solve_svr_many([], [], 0.5, 0.25) == []
+
+
+def test_users_share_python_calls(spark):
+    """Ordinary users of one block are fitted by one call, a user without id too, each on its own rows in order of the item."""
+    rng = np.random.default_rng(4)
+    made = [(u, i, float(rng.integers(1, 11)) / 2, [float(v) for v in rng.random(3)]) for u in [None, *range(40)] for i in rng.permutation(3 + (u or 0) % 7).tolist()]
+    rows = spark.createDataFrame(made, f"{C.USER} long, {C.ITEM} long, {C.RATING} double, features array<double>")
+    calls = spark.sparkContext.accumulator(0)
+
+    def fit(x, y):
+        return float(len(y)), np.concatenate([y, x[:, 0]])
+
+    whole = linear.fit_users(rows, fit, linear.solve_ols)
+    got = {r[C.USER]: (r.intercept, list(r.coef)) for r in whole.collect()}
+    for u in [None, *range(40)]:
+        own = sorted((i, r, x) for v, i, r, x in made if v == u)
+        assert got.pop(u) == (len(own), [r for _, r, _ in own] + [x[0] for _, _, x in own])
+    assert not got
+
+    def count(xs, ys, folds):
+        calls.add(1)
+        return [fit(x, y) for x, y in zip(xs, ys)]
+
+    assert linear._in_blocks(rows, len(made), count).count() == 41 and calls.value == 1
+
+
 def test_large_users_get_the_same_svr(training):
     rows, _ = training
     some = rows.where(F.col(C.USER) < 3)
