@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import warnings
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -247,6 +248,19 @@ def test_users_share_python_calls(spark):
     assert linear._in_blocks(rows, len(made), count).count() == 41 and calls.value == 1
 
 
+def test_elastic_net_of_dependent_features_ends_early():
+    """Equal columns have many solutions, and the shortest on their support changes a sign: the steps end where they meet the conditions."""
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        x, y = rng.integers(0, 2, (5, 20)).astype(float), rng.integers(1, 11, 5) / 2
+        m = linear.Moments.of(x, y)
+        with warnings.catch_warnings():
+            warnings.simplefilter("error")
+            w = linear.solve_elastic_net(m, 0.1, 1.0, max_iter=5_000)
+        grad = (m.c - m.g @ w) / 5
+        assert np.all(np.abs(grad) <= 0.1 + 1e-8) and np.all(np.abs(grad - 0.1 * np.sign(w))[np.abs(w) > 1e-9] < 1e-8)
+
+
 def test_large_users_get_the_same_svr(training):
     rows, _ = training
     some = rows.where(F.col(C.USER) < 3)
