@@ -59,3 +59,29 @@ def test_targets_of_a_user_are_cut_into_parts(spark):
     lists, raters = (df.groupBy("b").agg(F.sum(F.size("v")).alias("n")).collect() for df in seen)
     assert sum(r.n for r in raters) > 300 and len(raters) > 1 and max(r.n for r in raters) < sum(r.n for r in raters)
     assert {r.b for r in raters} <= {r.b for r in lists}
+
+
+@pytest.mark.parametrize("axis,sim,centred", [("user", "cosine", True), ("item", "pearson", False)])
+def test_grid_sums_in_blocks_equal_the_ranked_rows(spark, axis, sim, centred):
+    """Null ratings, unknown ids, several supports: no row per neighbour leaves a block."""
+    train = some_train(spark, 5, 1)
+    targets = spark.createDataFrame([(u, i) for u in (*range(0, 30, 3), 40, 41, 99) for i in (*range(0, 25, 2), 77)], f"{C.USER} long, {C.ITEM} long")
+    settings = [{"k": 3, "min_k": 2}, {"k": 8}, {"k": 8, "min_support": 3}, {"k": 2, "min_support": 5}]
+    run = lambda: neighbours.knn_grid(train, targets, settings, axis=axis, sim=sim, centred=centred)
+    grid = run()
+    assert "Window" not in grid._jdf.queryExecution().toString()
+    inner = neighbours._from_blocks
+    neighbours._from_blocks = lambda *a, **kw: None
+    try:
+        plain = run()
+        assert "Window" in plain._jdf.queryExecution().toString()
+        keys = (C.USER, C.ITEM, "k", "min_k", "min_support")
+        want = {tuple(r[c] for c in keys): r for r in plain.collect()}
+    finally:
+        neighbours._from_blocks = inner
+    got = grid.collect()
+    assert len(got) == len(want) == targets.count() * len(settings) and any(r.actual_k > 2 for r in got)
+    for r in got:
+        w = want[tuple(r[c] for c in keys)]
+        assert (r.actual_k, r.was_impossible) == (w.actual_k, w.was_impossible)
+        assert r.est == w.est or r.est == pytest.approx(w.est, abs=1e-9)
