@@ -130,6 +130,17 @@ def test_ranks_of_held_out_items(skewed, monkeypatch):
             assert rank == len(better) + 1
 
 
+def test_ranks_from_blocks_that_are_better_as_a_whole(spark, skewed):
+    """A block is visited only where it may hold both better and worse items; rated items of the others do not count."""
+    train, held = (materialise(x, "part") for x in evaluate.leave_one_out(skewed))
+    users, items = train.select(C.USER).distinct(), train.select(C.ITEM).distinct()
+    report: dict = {}
+    got = {tuple(r) for r in blocks.rank_of(users, items, train, held, blocks.bias_source(train, users, items), items_per_block=5, report=report).collect()}
+    paired = {tuple(r) for r in protocols.held_out_ranks(protocols.Candidate(protocols.BIAS.predict), train, held).collect()}
+    assert got == {r for r in paired if r[2] is not None} and len(got) > 0
+    assert report["visited"] * 4 < report["pairs"]
+
+
 def test_registry_and_report(skewed, catalogue):
     report = protocols.evaluation_report({"bias": protocols.BIAS, "constant": protocols.Candidate(lambda some, want: baselines.predict_constant(want))}, skewed, catalogue,
                                          metrics={"split": ["rmse"], "loo": ["hit_rate"], "full": ["diversity"]}, n=120)
