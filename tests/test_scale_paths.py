@@ -50,6 +50,25 @@ def test_a_hot_item_creates_no_candidate_pairs(skewed):
     assert pairs.count() < hot_rows * (hot_rows - 1) / 4
 
 
+@pytest.mark.parametrize("block", [similarity.BLOCK_PAIRS, 1500])
+def test_left_out_ratings_are_added_without_rows_of_pairs(spark, skewed, monkeypatch, block):
+    """All pairs, u < v, and those of some users; null ratings; with small blocks ids that a block does not hold come from the join."""
+    rows = skewed.withColumn(C.RATING, F.when((F.col(C.USER) + F.col(C.ITEM)) % 11 != 0, F.col(C.RATING)))
+    asked = spark.createDataFrame([(u,) for u in range(0, 400, 3)], "x long")
+    used = []
+    join = similarity.salted_pairs
+    monkeypatch.setattr(similarity, "salted_pairs", lambda *a, **b: used.append(1) or join(*a, **b))
+    want = {(r.u, r.v): r for r in similarity._sum_pairs(join(*[similarity.along(rows, "user")] * 2, similarity.along(rows, "user").groupBy("y").agg(F.count("*").alias("n_y")))).where("n >= 3").collect()}
+    for kw, keep in (({}, lambda u, v: True), ({"ordered": True}, lambda u, v: u < v), ({"left": asked}, lambda u, v: u % 3 == 0)):
+        got = {(r.u, r.v): r for r in similarity.corated_pairs(rows, min_support=3, hot=50, chunk=40, block=block, **kw).collect()}
+        assert set(got) == {k for k in want if keep(*k)} and len(got) > 0
+        for k, r in got.items():
+            assert tuple(r)[:3] == tuple(want[k])[:3]
+            assert [a is None for a in r] == [a is None for a in want[k]]
+            assert [a for a in r if a is not None] == pytest.approx([a for a in want[k] if a is not None])
+    assert bool(used) == (block == 1500)
+
+
 def test_neighbour_model_with_hot_targets(spark, skewed):
     train = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 != 0)
     targets = skewed.where((F.col(C.USER) + F.col(C.ITEM)) % 5 == 0).select(C.USER, C.ITEM)
