@@ -6,6 +6,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,20 @@ def test_entry_without_a_dependency_of_the_optional_parts():
             "q, o = e.queries(), e.oracle_sql(); assert 'featured_items' in q and len(q) > 200 and set(o) <= set(q); print(len(q))")
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+
+
+def test_visits_and_best_items_are_made_a_few_at_a_time():
+    """Every user visits every block, and all scores are equal: what is made at once stays small, and nothing is lost."""
+    users = pd.DataFrame({C.USER: np.arange(300), "v0": [np.ones(3)] * 300})
+    parts = [*blocks._visits(users, np.ones((300, 50), bool), np.arange(50) + 7)]
+    assert max(map(len, parts)) <= blocks.VISITS_AT_ONCE < 300 * 50 == sum(map(len, parts))
+    met = pd.concat(parts)
+    assert set(zip(met[C.USER], met["block"], strict=True)) == {(u, b + 7) for u in range(300) for b in range(50)} and met["block"].dtype == "int32"
+    assert not [*blocks._visits(users, np.zeros((300, 50), bool), np.arange(50))]
+
+    score = np.full((300, 40), 3.0)
+    score[5, 30], score[6, :] = 4.0, -np.inf
+    best = blocks._best(users[C.USER].to_numpy(), np.arange(40) * 2, score, np.full(300, -np.inf), 4)
+    lists = best.groupby(C.USER)[C.ITEM].agg(list)
+    assert len(lists) == 299 and lists[0] == [0, 2, 4, 6] == lists[299] and lists[5] == [60, 0, 2, 4] and 6 not in lists
+    assert len(blocks._best(np.zeros(0, int), np.arange(40), np.zeros((0, 40)), np.zeros(0), 4)) == 0
